@@ -160,7 +160,11 @@ def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None =
 
 def word_dictionary(docs: DataFrame, units: str, vocab: DataFrame, facts=None) -> DataFrame:
     """Distinct words of the corpus with counts, pieces and ids, written once."""
-    return cut(segment_words(word_counts(docs, units), vocab, facts))
+    counts = word_counts(docs, units)
+    # Few bytes but much work per word: a fixed number of partitions keeps
+    # adaptive coalescing from folding this stage into a handful of tasks.
+    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(segment_words(counts.repartition(width, "word"), vocab, facts))
 
 
 def encode(

@@ -103,9 +103,9 @@ ventries AS (
   UNION ALL SELECT token, 3, place FROM vtop
   UNION ALL SELECT '##' || token, 4, place FROM vtop WHERE place <= 300),
 vfirst AS (
-  SELECT token, min(block * 1000000 + place) AS at FROM ventries GROUP BY 1),
+  SELECT token, min(block * 1000000 + place) AS sort_key FROM ventries GROUP BY 1),
 vocab AS MATERIALIZED (
-  SELECT token, row_number() OVER (ORDER BY at, token) - 1 AS token_id FROM vfirst)"""
+  SELECT token, row_number() OVER (ORDER BY sort_key, token) - 1 AS token_id FROM vfirst)"""
 
 
 def dictionary(occurrences: str = "occ") -> str:
@@ -136,7 +136,7 @@ dict AS MATERIALIZED (
 
 ENCODED = """
 enc AS MATERIALIZED (
-  SELECT doc_id, unit, wpos, k, piece, id,
+  SELECT doc_id, unit, wpos, k, word, piece, id,
          row_number() OVER (PARTITION BY doc_id ORDER BY unit, wpos, k) AS pno
   FROM occ JOIN dict USING (word))"""
 

@@ -29,6 +29,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a small input one partition per core; large inputs already have more.
+
+    Text steps are CPU-bound, so a small file read as one split would leave
+    the other cores idle. No job is run to decide.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if have >= cores else df.repartition(cores)
+
+
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` is proven to fit the broadcast bound.
 
