@@ -66,8 +66,11 @@ def vocab_facts(vocab: DataFrame) -> VocabFacts:
 
 def word_counts(docs: DataFrame, units: str) -> DataFrame:
     """Occurrences per distinct word of an ``array<struct<unit, word>>`` column."""
+    # The outer form: a plain explode of a computed array is evaluated again
+    # in the emptiness filter that the optimiser derives from it.
     return (
-        docs.select(F.explode(F.col(f"{units}.word")).alias("word"))
+        docs.select(F.explode_outer(F.col(f"{units}.word")).alias("word"))
+        .filter("word is not null")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -77,15 +80,17 @@ def longest_matches(words: DataFrame, vocab: DataFrame, longest: int) -> DataFra
     """For each (word, start): end and id of the longest vocabulary match, packed.
 
     ``words`` keeps its partitioning by ``word``: the vocabulary side is
-    broadcast when it is small enough, and both groupings cluster by word.
+    broadcast when it is small enough, and every grouping clusters by word.
+    Other columns of ``words`` are carried along. Over-long words are looked at
+    in their first position only; they are never split.
     """
     size = F.length("word")
-    starts = words.filter(size <= MAX_WORD_CHARS).select(
-        "word", F.explode(F.sequence(F.lit(1), size)).alias("start")
+    starts = words.select(
+        *words.columns,
+        F.explode(F.sequence(F.lit(1), F.when(size <= MAX_WORD_CHARS, size).otherwise(1))).alias("start"),
     )
     spans = starts.select(
-        "word",
-        "start",
+        "*",
         F.explode(
             F.sequence(
                 F.col("start"), F.least(F.length("word"), F.col("start") + F.lit(longest - 1))
@@ -93,17 +98,14 @@ def longest_matches(words: DataFrame, vocab: DataFrame, longest: int) -> DataFra
         ).alias("end"),
     )
     piece = F.substring("word", F.col("start"), F.col("end") - F.col("start") + 1)
-    keyed = spans.select(
-        "word",
-        "start",
-        "end",
-        F.when(F.col("start") > 1, F.concat(F.lit("##"), piece)).otherwise(piece).alias("token"),
+    keyed = spans.withColumn(
+        "token", F.when(F.col("start") > 1, F.concat(F.lit("##"), piece)).otherwise(piece)
     )
     entries = vocab.filter(F.length("token") <= MAX_WORD_CHARS + 2).select("token", "token_id")
     packed = F.shiftleft(F.col("end").cast("long"), 32) + F.col("token_id").cast("long")
     return (
         keyed.join(broadcast_if_small(entries), "token", "left")
-        .groupBy("word", "start")
+        .groupBy(*words.columns, "start")
         .agg(F.max(packed).alias("best"))
     )
 
@@ -116,8 +118,8 @@ def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None =
     """
     facts = facts or vocab_facts(vocab)
     matched = (
-        longest_matches(words.select("word"), vocab, facts.longest)
-        .groupBy("word")
+        longest_matches(words, vocab, facts.longest)
+        .groupBy(*words.columns)
         .agg(F.sort_array(F.collect_list(F.struct("start", "best"))).alias("found"))
     )
     step = "struct<next:int,cuts:array<int>,ids:array<int>>"
@@ -139,8 +141,8 @@ def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None =
         ).otherwise(acc),
     )
     size = F.length("word")
-    walk = words.join(matched, "word", "left").withColumn("walk", walked)
-    complete = F.coalesce(F.col("walk.next") == size + 1, F.lit(False))
+    walk = matched.withColumn("walk", walked)
+    complete = (size <= MAX_WORD_CHARS) & (F.col("walk.next") == size + 1)
     pieces = let(
         lambda cuts: F.transform(
             cuts,
@@ -160,9 +162,10 @@ def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None =
 
 def word_dictionary(docs: DataFrame, units: str, vocab: DataFrame, facts=None) -> DataFrame:
     """Distinct words of the corpus with counts, pieces and ids, written once."""
-    counts = word_counts(docs, units)
     # Few bytes but much work per word: a fixed number of partitions keeps
-    # adaptive coalescing from folding this stage into a handful of tasks.
+    # adaptive coalescing from folding this stage into a handful of tasks. The
+    # written counts also spare a second corpus pass when a task is retried.
+    counts = cut(word_counts(docs, units))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut(segment_words(counts.repartition(width, "word"), vocab, facts))
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from textloom.functions import arrays as A
 from textloom.functions import text as X
-from textloom.operators.order import dense_index
+from textloom.operators.order import running_start
 from textloom.operators.sequences import fixed_width
 from textloom.operators.subword import CLS, SEP, VocabFacts, encode, vocab_facts
+from textloom.session import cut
 
 FIRST_UNIQUE_ID = 1_000_000_000
 
@@ -235,12 +236,18 @@ def best_context(offset: Column, first: Column, n: Column, room: Column, step: C
     return -best["k"] * step == first
 
 
+def _room(cfg: WindowConfig) -> Column:
+    return F.lit(cfg.max_length - 3) - F.size("query")
+
+
 def windows(
     encoded: DataFrame, cfg: WindowConfig, facts: VocabFacts, training: bool = True
 ) -> DataFrame:
-    """Encoded questions to one row per window."""
-    n, room = F.size("body"), F.lit(cfg.max_length - 3) - F.size("query")
-    spans = encoded.withColumn("n", n).withColumn("room", room)
+    """Encoded questions to one row per window.
+
+    With a ``first_id`` column the windows also get consecutive unique ids.
+    """
+    spans = encoded.withColumn("n", F.size("body")).withColumn("room", _room(cfg))
     if training:
         start, end = piece_span(F.col("body.piece_units"), F.col("start_word"), F.col("end_word"))
         better = improve_span(F.col("body.ids"), start, end, F.col("answer_ids"))
@@ -265,7 +272,10 @@ def windows(
     )
     positions = F.sequence(F.col("shift"), F.col("shift") + F.col("length") - 1)
     first_word, last_word = F.get("part.piece_units", F.lit(0)), F.element_at("part.piece_units", -1)
+    numbered = "first_id" in encoded.columns
+    unique = F.col("first_id") + F.col("window_no") + FIRST_UNIQUE_ID if numbered else None
     out = spans.select(
+        *([unique.alias("unique_id")] if numbered else []),
         "qas_id",
         "context_id",
         "window_no",
@@ -311,6 +321,12 @@ def question_windows(
     """Paragraphs with questions to the final window feature table."""
     facts = vocab_facts(vocab)
     encoded = encode_examples(paragraphs, cfg, vocab, training, lower, facts)
-    rows = windows(encoded, cfg, facts, training)
-    numbered = dense_index(rows, ["qas_id", "window_no"], "row_no")
-    return numbered.withColumn("unique_id", F.col("row_no") + FIRST_UNIQUE_ID).drop("row_no")
+    encoded = cut(encoded)
+    # Ids are consecutive over (question, window): only window counts are
+    # ranked, the token arrays never take part in the ordering.
+    counts = encoded.select(
+        "qas_id",
+        window_count(F.size("body"), _room(cfg), cfg.stride).cast("long").alias("n_windows"),
+    )
+    starts = running_start(counts, ["qas_id"], "n_windows", "first_id").select("qas_id", "first_id")
+    return windows(encoded.join(starts, "qas_id"), cfg, facts, training)

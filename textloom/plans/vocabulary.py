@@ -22,7 +22,8 @@ def corpus_vocabulary(
     A count-based list, not a learned vocabulary. Ids are dense.
     """
     counts = cut(
-        docs.select(F.explode(X.basic_tokens(F.col("text"), lower)).alias("token"))
+        docs.select(F.explode_outer(X.basic_tokens(F.col("text"), lower)).alias("token"))
+        .filter("token is not null")
         .groupBy("token")
         .agg(F.count("*").alias("n"))
     )
