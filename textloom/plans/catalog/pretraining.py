@@ -9,7 +9,7 @@ from textloom.functions.draws import draw_hex
 from textloom.operators import pretrain as P
 from textloom.operators.subword import vocab_facts
 from textloom.plans import oracle_parts as Q
-from textloom.plans.catalog.registry import query, table, vocabulary
+from textloom.plans.catalog.registry import query, shared, table, vocabulary
 
 CFG = P.PairConfig(dupe_factor=2)
 S = CFG.seed
@@ -121,7 +121,10 @@ BASE = Q.CORPUS + "," + SEGMENTS
 
 
 def _corpus(spark, sf):
-    return P.encode_documents(table(spark, sf, "documents"), vocabulary(spark, sf))
+    docs = table(spark, sf, "documents")
+    return shared(
+        spark, sf, "corpus", lambda: P.encode_documents(docs, vocabulary(spark, sf))
+    )
 
 
 @query(
@@ -214,7 +217,8 @@ _ROWS = BASE + "," + PLAN + "," + PARTNERS + "," + TRIMMED + "," + MASKED
 FROM chosen JOIN rows USING (doc_id, copy, chunk) GROUP BY 1, 2, 3""",
 )
 def padded_slots(spark, sf):
-    rows = _training(spark, sf)
+    docs = table(spark, sf, "documents")
+    rows = P.training_rows(docs, vocabulary(spark, sf), CFG, corpus=_corpus(spark, sf))
     n = F.aggregate("masked_lm_weights", F.lit(0.0), lambda a, w: a + w.cast("double"))
     return rows.select(
         "doc_id",

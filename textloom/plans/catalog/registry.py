@@ -14,7 +14,7 @@ from textloom.session import spread
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_vocabularies: dict[tuple[str, str], DataFrame] = {}
+_shared: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -51,9 +51,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df) if name in ("documents", "pages") else df
 
 
+def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A written intermediate table, built once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _shared:
+        _shared[key] = build()
+    return _shared[key]
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus vocabulary of ``documents``, built once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _vocabularies:
-        _vocabularies[key] = corpus_vocabulary(table(spark, sf_dir, "documents"))
-    return _vocabularies[key]
+    """The corpus vocabulary of ``documents``."""
+    return shared(
+        spark, sf_dir, "vocabulary", lambda: corpus_vocabulary(table(spark, sf_dir, "documents"))
+    )

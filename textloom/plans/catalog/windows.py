@@ -6,8 +6,9 @@ from textloom.functions import arrays as A
 from textloom.operators import windows as W
 from textloom.operators.subword import vocab_facts
 from textloom.plans import oracle_parts as Q
-from textloom.plans.catalog.registry import query, table, vocabulary
+from textloom.plans.catalog.registry import query, shared, table, vocabulary
 from textloom.plans.questions import document_paragraphs
+from textloom.session import cut
 
 CFG = W.WindowConfig(negatives=True)
 _D = Q.digest("qa", "doc_id")
@@ -92,7 +93,12 @@ def paragraphs(spark, sf):
 
 def _encoded(spark, sf):
     vocab = vocabulary(spark, sf)
-    return W.encode_examples(paragraphs(spark, sf), CFG, vocab, facts=vocab_facts(vocab))
+    return shared(
+        spark,
+        sf,
+        "encoded_questions",
+        lambda: cut(W.encode_examples(paragraphs(spark, sf), CFG, vocab, facts=vocab_facts(vocab))),
+    )
 
 
 @query(
@@ -183,7 +189,12 @@ def improved_spans(spark, sf):
 
 
 def built(spark, sf):
-    return W.question_windows(paragraphs(spark, sf), vocabulary(spark, sf), CFG)
+    return shared(
+        spark,
+        sf,
+        "windows",
+        lambda: cut(W.question_windows(paragraphs(spark, sf), vocabulary(spark, sf), CFG)),
+    )
 
 
 @query(
@@ -263,7 +274,8 @@ def window_labels(spark, sf):
  count(*) FILTER (inside) AS with_answer FROM labelled GROUP BY 1""",
 )
 def question_set(spark, sf):
-    return built(spark, sf).groupBy("qas_id").agg(
+    rows = W.question_windows(paragraphs(spark, sf), vocabulary(spark, sf), CFG)
+    return rows.groupBy("qas_id").agg(
         F.count("*").alias("windows"),
         F.sum("window_length").alias("pieces"),
         F.count(F.when(F.col("end_position") > 0, 1)).alias("with_answer"),
