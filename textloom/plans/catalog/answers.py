@@ -106,7 +106,7 @@ SCORED = BASE + "," + CANDIDATES + "," + TEXTS
 def _hash_logits(a: int, b: int, c: int, d: int, modulus: int, scale: float):
     doc = F.split("qas_id", "-")[0].cast("long")
     q = F.split("qas_id", "-")[1].cast("long")
-    base = doc * a + q * b + F.col("window_no") * c
+    base = doc * a + q * b + F.col("window_no").cast("long") * c
     return A.let(
         lambda base: F.transform(
             F.sequence(F.lit(0), F.lit(WIDTH - 1)),
@@ -116,19 +116,18 @@ def _hash_logits(a: int, b: int, c: int, d: int, modulus: int, scale: float):
     )
 
 
-def scored(spark, sf):
+def with_hash_logits(rows):
     """Windows joined by id with their scores."""
+    scores = rows.select(
+        "unique_id",
+        _hash_logits(7919, 31, 104729, 1299709, 1009, 97.0).alias("start_logits"),
+        _hash_logits(6151, 17, 15485863, 179424673, 1013, 89.0).alias("end_logits"),
+    )
+    return R.join_scores(rows, scores)
 
-    def build():
-        rows = CW.built(spark, sf)
-        scores = rows.select(
-            "unique_id",
-            _hash_logits(7919, 31, 104729, 1299709, 1009, 97.0).alias("start_logits"),
-            _hash_logits(6151, 17, 15485863, 179424673, 1013, 89.0).alias("end_logits"),
-        )
-        return cut(R.join_scores(rows, scores))
 
-    return shared(spark, sf, "scored", build)
+def scored(spark, sf):
+    return shared(spark, sf, "scored", lambda: cut(with_hash_logits(CW.built(spark, sf))))
 
 
 def _examples(spark, sf):
