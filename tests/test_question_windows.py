@@ -27,7 +27,8 @@ def paragraphs(spark):
 
 def _windows(paragraphs, vocab, **kw):
     cfg = W.WindowConfig(**{"max_length": 9, "stride": 3, "negatives": True, **kw})
-    rows = W.question_windows(paragraphs, vocab, cfg).orderBy("unique_id").collect()
+    built = W.with_token_maps(W.question_windows(paragraphs, vocab, cfg))
+    rows = built.orderBy("unique_id").collect()
     out = {}
     for r in rows:
         out.setdefault(r.qas_id, []).append(r)
@@ -104,9 +105,10 @@ def test_window_shapes_equal_the_loop(spark):
         spans = spans.withColumn("first", F.col("k") * F.col("step")).withColumn(
             "length", F.least("room", F.col("n") - F.col("first"))
         )
+        shape = [F.col(c) for c in ("n", "room", "step", "count")]
+        piece = F.col("first") + F.col("i")
         flags = spans.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("length") - 1))).withColumn(
-            "best",
-            W.best_context(*[F.col(c) for c in ("i", "first", "n", "room", "step", "count")]),
+            "best", (piece >= W.best_from(F.col("k"), *shape)) & (piece < W.best_from(F.col("k") + 1, *shape))
         )
         for r in flags.collect():
             expected = spec(r.n, r.room, stride)
@@ -171,7 +173,9 @@ def test_n_best_equals_plain_loops(spark, qa_vocab):
     rng = random.Random(7)
     rows = [("c", "the man went to the store and bought a gallon of milk " * 3, [("q", "the", False, [("the", 0)])])]
     paragraphs = spark.createDataFrame(rows, QA_SCHEMA)
-    windows = W.question_windows(paragraphs, qa_vocab, W.WindowConfig(max_length=12, stride=4)).cache()
+    windows = W.with_token_maps(
+        W.question_windows(paragraphs, qa_vocab, W.WindowConfig(max_length=12, stride=4))
+    ).cache()
     ids = [(r.unique_id, r.window_no) for r in windows.select("unique_id", "window_no").collect()]
     scores = {k: ([rng.randint(0, 9) / 2 for _ in range(12)], [rng.randint(0, 9) / 2 for _ in range(12)]) for _, k in ids}
     table = spark.createDataFrame(

@@ -213,27 +213,33 @@ def window_count(n: Column, room: Column, stride: int) -> Column:
     )
 
 
-def best_context(offset: Column, first: Column, n: Column, room: Column, step: Column, count: Column) -> Column:
-    """True when no other window shows piece ``first + offset`` with more context.
-
-    A window's score is 100 * min(left, right) + length; the lowest index wins
-    ties. Only windows containing the piece are compared.
+def best_from(k: Column, n: Column, room: Column, step: Column, count: Column) -> Column:
+    """First piece for which window ``k`` shows more context than window ``k - 1``.
+
+    A window scores 100 * min(left, right) + length at a piece, and the lower
+    window wins ties. Window starts and ends ascend and only the last window
+    may be short, so the lead of a window over the one before it only grows
+    along the pieces, and beating that neighbour means beating all. Window k
+    therefore holds the best context for [best_from(k), best_from(k + 1)).
     """
-    position = first + offset
-    lowest = F.greatest(F.lit(0), F.ceil((position - room + 1) / step).cast("int"))
-    highest = F.least(count - 1, F.floor(position / step).cast("int"))
+    start, before = k * step, (k - 1) * step
+    length = F.least(room, n - start)
+    end, end_before = start + length - 1, before + room - 1
 
-    def score(k: Column) -> Column:
-        start = k * step
-        length = F.least(room, n - start)
-        return F.lit(100) * F.least(position - start, start + length - 1 - position) + length
+    def score(p: Column, first: Column, last: Column, size: Column) -> Column:
+        return F.lit(100) * F.least(p - first, last - p) + size
 
-    best = F.array_max(
-        F.transform(
-            F.sequence(lowest, highest), lambda k: F.struct(score(k).alias("s"), (-k).alias("k"))
-        )
+    # Where the rising side of k meets the falling side of k - 1.
+    meet = F.floor((F.lit(100) * (start + end_before) + room - length) / 200).cast("int") + 1
+    ahead = (meet <= end_before) & (
+        score(meet, start, end, length) > score(meet, before, end_before, room)
+    )
+    return (
+        F.when(k <= 0, 0)
+        .when(k >= count, n)
+        .when(ahead, F.greatest(meet, start))
+        .otherwise(end_before + 1)
     )
-    return -best["k"] * step == first
 
 
 def _room(cfg: WindowConfig) -> Column:
@@ -262,15 +268,9 @@ def windows(
         .withColumn("part", F.slice("body", F.col("first") + 1, F.col("length")))
         .withColumn("shift", F.size("query") + 2)
     )
-    offsets = F.sequence(F.lit(0), F.col("length") - 1)
-    best = A.let(
-        lambda offs, first, n, room, step, count: F.transform(
-            offs, lambda i: best_context(i, first, n, room, step, count)
-        ),
-        offsets,
-        *[F.col(c) for c in ("first", "n", "room", "step", "count")],
-    )
-    positions = F.sequence(F.col("shift"), F.col("shift") + F.col("length") - 1)
+    shape = [F.col(c) for c in ("n", "room", "step", "count")]
+    best_first = best_from(F.col("window_no"), *shape)
+    best_last = best_from(F.col("window_no") + 1, *shape) - 1
     first_word, last_word = F.get("part.piece_units", F.lit(0)), F.element_at("part.piece_units", -1)
     numbered = "first_id" in encoded.columns
     unique = F.col("first_id") + F.col("window_no") + FIRST_UNIQUE_ID if numbered else None
@@ -282,8 +282,10 @@ def windows(
         F.col("first").alias("window_start"),
         F.col("length").alias("window_length"),
         A.bracketed(F.col("query.pieces"), F.col("part.pieces"), F.lit(CLS), F.lit(SEP)).alias("tokens"),
-        F.map_from_arrays(positions, F.col("part.piece_units")).alias("token_to_word"),
-        F.map_from_arrays(positions, best).alias("token_is_best"),
+        F.col("shift").alias("doc_offset"),
+        F.col("part.piece_units").alias("token_words"),
+        (best_first - F.col("first") + F.col("shift")).alias("best_first"),
+        (best_last - F.col("first") + F.col("shift")).alias("best_last"),
         F.col("query.ids").alias("a"),
         F.col("part.ids").alias("b"),
         first_word.alias("first_word"),
@@ -296,6 +298,25 @@ def windows(
     return fixed_width(out, "a", "b", cfg.max_length, facts).drop("a", "b")
 
 
+def with_token_maps(rows: DataFrame) -> DataFrame:
+    """Add the per-token maps position -> word and position -> best context.
+
+    Windows carry the same facts as one array and two bounds, which is all the
+    later steps need; the maps are for consumers that look tokens up.
+    """
+    size = F.size("token_words")
+    positions = F.sequence(F.col("doc_offset"), F.col("doc_offset") + size - 1)
+    lead, tail = F.col("best_first") - F.col("doc_offset"), F.col("best_last") - F.col("doc_offset") + 1
+    flags = F.concat(
+        F.array_repeat(F.lit(False), lead),
+        F.array_repeat(F.lit(True), tail - lead),
+        F.array_repeat(F.lit(False), size - F.greatest(tail, lead)),
+    )
+    return rows.withColumn("token_to_word", F.map_from_arrays(positions, "token_words")).withColumn(
+        "token_is_best", F.map_from_arrays(positions, flags)
+    )
+
+
 def _window_labels() -> list[Column]:
     """Answer positions inside the window, (0, 0) when absent or impossible."""
     inside = (

@@ -219,7 +219,7 @@ SELECT unique_id, qas_id, k AS window_no,
 FROM numbered JOIN flags USING (unique_id)""",
 )
 def features(spark, sf):
-    rows = built(spark, sf)
+    rows = W.with_token_maps(built(spark, sf))
     mask = F.aggregate("input_mask", F.lit(0), lambda a, v: a + v)
     flags = F.transform(F.map_values("token_is_best"), lambda b: b.cast("int").cast("string"))
     return rows.select(
@@ -241,7 +241,7 @@ def features(spark, sf):
 )
 def best_context(spark, sf):
     flags = F.map_values("token_is_best")
-    rows = built(spark, sf).withColumn("flags", flags)
+    rows = W.with_token_maps(built(spark, sf)).withColumn("flags", flags)
     return rows.select(
         "qas_id",
         "unique_id",
