@@ -55,10 +55,20 @@ def segment_marks(a: Column, b: Column) -> Column:
 
 def best_indexes(scores: Column, n: int) -> Column:
     """0-based indexes of the ``n`` highest scores; equal scores keep the lower index."""
-    ranked = F.array_sort(
-        F.transform(scores, lambda v, i: F.struct((-v).alias("neg"), i.alias("pos")))
-    )
-    return F.transform(F.slice(ranked, 1, n), lambda s: s["pos"])
+
+    def pick(values: Column, least: Column) -> Column:
+        # Plain doubles sort fast; only positions that can be listed are ranked.
+        near = F.filter(
+            F.transform(values, lambda v, i: i),
+            lambda i: F.coalesce(F.get(values, i) >= least, F.lit(True)),
+        )
+        ranked = F.array_sort(
+            F.transform(near, lambda i: F.struct((-F.get(values, i)).alias("neg"), i.alias("pos")))
+        )
+        return F.transform(F.slice(ranked, 1, n), lambda s: s["pos"])
+
+    nth = F.get(F.sort_array(scores, asc=False), F.lit(n - 1))
+    return let(pick, scores, nth)
 
 
 def argmax(scores: Column) -> Column:
