@@ -48,8 +48,10 @@ def top_labels(rows: DataFrame, n: int) -> DataFrame:
     Equal counts keep alphabetical order. Only aggregated counts are ranked.
     """
     by_count = Window.partitionBy("tag").orderBy(F.desc("n"), "label")
-    ranked = label_counts(rows).withColumn("label_id", F.row_number().over(by_count) - 1)
-    return ranked.filter(F.col("label_id") < n)
+    ranked = label_counts(rows).withColumn("place", F.row_number().over(by_count))
+    # A plain limit on the row number is also applied before the shuffle.
+    listed = ranked.filter(F.col("place") <= n)
+    return listed.select("tag", "label", "n", (F.col("place") - 1).alias("label_id"))
 
 
 def label_names(rows: DataFrame) -> DataFrame:

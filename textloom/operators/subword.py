@@ -64,6 +64,11 @@ def vocab_facts(vocab: DataFrame) -> VocabFacts:
     return VocabFacts(row["size"], row["longest"] or 1, found, gaps)
 
 
+def _bounded(word) -> Column:
+    """Over-long words are unknown whatever they hold, so none is kept or joined."""
+    return F.when(F.length(word) > MAX_WORD_CHARS, UNK).otherwise(F.col(word))
+
+
 def word_counts(docs: DataFrame, units: str) -> DataFrame:
     """Occurrences per distinct word of an ``array<struct<unit, word>>`` column."""
     # The outer form: a plain explode of a computed array is evaluated again
@@ -71,6 +76,7 @@ def word_counts(docs: DataFrame, units: str) -> DataFrame:
     return (
         docs.select(F.explode_outer(F.col(f"{units}.word")).alias("word"))
         .filter("word is not null")
+        .withColumn("word", _bounded("word"))
         .groupBy("word")
         .agg(F.count("*").alias("n"))
     )
@@ -191,6 +197,7 @@ def encode(
     occurrences = docs.select(
         *keys, F.posexplode_outer(units).alias("pos", "item")
     ).select(*keys, "pos", F.col("item.unit").alias("unit"), F.col("item.word").alias("word"))
+    occurrences = occurrences.withColumn("word", _bounded("word"))
 
     if small_enough(entries, max_broadcast):
         joined = occurrences.join(F.broadcast(entries.drop("n")), "word", "left")

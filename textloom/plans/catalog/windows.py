@@ -88,7 +88,8 @@ SIMPLE = Q.with_parts(PARAGRAPHS).rstrip()
 
 
 def paragraphs(spark, sf):
-    return document_paragraphs(table(spark, sf, "documents"))
+    docs = table(spark, sf, "documents")
+    return shared(spark, sf, "paragraphs", lambda: cut(document_paragraphs(docs)))
 
 
 def _encoded(spark, sf):
