@@ -8,7 +8,7 @@ from textloom.operators import scoring as R
 from textloom.operators import windows as W
 from textloom.plans import oracle_parts as Q
 from textloom.plans.catalog import windows as CW
-from textloom.plans.catalog.registry import query, shared, table
+from textloom.plans.catalog.registry import query, shared
 from textloom.session import cut
 
 PLAIN = N.AnswerConfig()

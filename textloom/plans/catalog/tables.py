@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from textloom.functions import arrays as A
-from textloom.functions import text as X
 from textloom.operators import upserts as U
 from textloom.operators.labels import guid, has_text
 from textloom.operators.sequences import decode_features
