@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,13 +12,20 @@ BROADCAST_MAX_ROWS = 500_000
 BROADCAST_MAX_CHARS = 64 * 1024 * 1024
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder for intermediate tables that the driver and all executors see.
+
+    The one ``spark.checkpoint.dir`` names; where it is unset, a folder inside
+    the warehouse, which is shared as well. Never a machine-local one.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_textloom"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; fall back only when unset."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="textloom-"))
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(spark))
 
 
 def cut(df: DataFrame) -> DataFrame:
