@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import decontamination, jaccard_join, mixing, token_files, toxicity
+from textloom.llm import (
+    decontamination,
+    html_text,
+    jaccard_join,
+    mixing,
+    token_files,
+    toxicity,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +50,30 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query(
+    "op3_warc_archives",
+    """WITH p AS (
+ SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS keeper FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+ list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  ((('0x' || substr(h, i::INT // 4 * 5 + 1, 5))::BIGINT >> (15 - 5 * (i::INT % 4))) & 31) + 1, 1)),
+  'string_agg', '') AS payload_digest,
+ CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+FROM k""",
+)
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write_archives(table(spark, sf_dir, "pages"), revisit_from=0)
+    return warc.read_archives(spark, path).select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 @query(
     "op5_source_mix",
     r"""WITH s AS (
@@ -108,3 +140,9 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
     )
+
+
+@query("op8_html_text")
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
