@@ -13,8 +13,10 @@ from textloom.llm import (
     html_text,
     jaccard_join,
     mixing,
+    quality,
     token_files,
     toxicity,
+    vector_search,
     warc,
 )
 
@@ -25,6 +27,7 @@ ORACLES: dict[str, str] = {}
 END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 TOXIC_FROM = 0.7
+KEEP_FROM = 0.5
 
 
 def query(name: str, sql: str | None = None):
@@ -146,3 +149,35 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.main_text(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query(
+    "op2_top_k_search",
+    """WITH v AS (
+ SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+ WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+ FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op4_ordinal_quality")
+def graded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good."""
+    docs = table(spark, sf_dir, "documents")
+    grade = F.when(F.col("quality") == 1, F.lit(2) - F.coalesce("toxic", F.lit(0))).otherwise(
+        F.col("quality")
+    )
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), grade, id_remainder(3) != 1)
+    return quality.graded(docs, model).select(
+        "doc_id",
+        (id_remainder(3) == 1).alias("held_out"),
+        "expected_grade",
+        F.col("tails")[0].alias("p_ge_1"),
+        F.col("tails")[1].alias("p_ge_2"),
+        (F.col("tails")[0] >= KEEP_FROM).alias("keep"),
+    )
