@@ -67,9 +67,19 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
                 yield batch.slice(a, b - a)
 
 
+def fresh_texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    """A text column with nulls as empty texts, in memory of its own.
+
+    Some Arrow kernels misread slices that were cast, hence the copy.
+    """
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    copied = column.take(pa.array(np.arange(len(column), dtype=np.int64)))
+    return pc.fill_null(copied.cast(pa.large_string()), "")
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
-    """The text column with nulls as empty texts."""
-    return pc.fill_null(batch.column(batch.schema.get_field_index(name)).cast(pa.large_string()), "")
+    return fresh_texts(batch.column(batch.schema.get_field_index(name)))
 
 
 def lower_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

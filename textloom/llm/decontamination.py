@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import chunks, hash_strings, lower_words, texts_of, window_hashes
+from textloom.llm.common import chunks, fresh_texts, hash_strings, lower_words, texts_of, window_hashes
 
 
 @dataclass(frozen=True)
@@ -178,7 +178,7 @@ def _portions(benchmark: DataFrame, config: TilingConfig) -> list[Items]:
     for part in range(parts):
         mine = rows if parts == 1 else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         found = mine.orderBy("item_id", "text").toArrow()
-        texts = found["text"].combine_chunks().cast(pa.large_string())
+        texts = fresh_texts(found["text"])
         yield Items(found["item_id"].to_pylist(), texts, config)
 
 

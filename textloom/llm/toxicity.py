@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import chunks, lower_words, ragged, texts_of
+from textloom.llm.common import chunks, fresh_texts, lower_words, ragged, texts_of
 
 
 @dataclass(frozen=True)
@@ -285,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, config=ToxicityConfi
             model = train(pa.array([], pa.large_string()), np.zeros(0), config)
         else:
             table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-            texts = table["text"].combine_chunks().cast(pa.large_string())
+            texts = fresh_texts(table["text"])
             model = train(texts, table["label"].to_numpy(), config)
         yield pa.RecordBatch.from_pydict(
             {
