@@ -13,6 +13,7 @@ from textloom.llm import (
     html_text,
     jaccard_join,
     mixing,
+    ngram_lm,
     quality,
     token_files,
     toxicity,
@@ -181,3 +182,8 @@ def graded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tails")[1].alias("p_ge_2"),
         (F.col("tails")[0] >= KEEP_FROM).alias("keep"),
     )
+
+
+@query("op1_lm_scoring")
+def scored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), id_remainder(7) == 2)
