@@ -8,17 +8,22 @@ answers every pack from it: counts of words, and the quantised probability of
 each pair within its context. The answers come back to the pack, and whole
 texts are scored there.
 
-The model is a bigram with Dirichlet smoothing:
-``p(w | h) = (c(h, w) + m * u(w)) / (c(h) + m)`` with the add-one unigram
-``u(w) = (c(w) + 1) / (N + V + 1)``, so every text has a probability. Stored
-shares are rounded down, so the probabilities add up to 1 or a little less.
+The model is a bigram with absolute discounting: of each seen pair's count D
+is taken off and given to all words by their unigram chance
+``u(w) = (c(w) + 1) / (N + V + 1)``, along with m imagined counts. With T(h)
+the distinct words seen after h,
+``p(w | h) = (max(c(h, w) - D, 0) + (D * T(h) + m) * u(w)) / (c(h) + m)``.
+Stored shares are rounded down, so the probabilities of all words add up to 1
+or a little less.
 
 Pairs go to the shard of their context. Contexts that a look at a few
-documents shows to be frequent are dealt over many shards by the second word;
-a shard then knows the share of a pair among its part of the context, and the
-part's size is returned with it, so the product is exact however a context is
-split. Nothing that grows with the corpus is broadcast or collected: only the
-totals N and V are.
+documents shows to be frequent are dealt over many shards by the second word.
+A shard then knows its part of the context: it returns a pair's share of the
+part with the part's count and distinct words, and what the part's pairs were
+discounted by goes to the words of that part, by their share of the part's
+unigram chance. So a split context has probabilities that add up as well.
+Nothing that grows with the corpus is broadcast or collected: only N, V and
+the unigram chance of each part are.
 
 Words are told apart by 64-bit hashes, so counts are exact up to clashes.
 
@@ -58,7 +63,8 @@ from textloom.llm.elias_fano import Trie, code_shares
 
 @dataclass(frozen=True)
 class ModelConfig:
-    strength: float = 20.0
+    discount: float = 0.75
+    imagined: float = 2.0
     pack_bytes: int = 16 * 1024 * 1024
     look_rows: int = 1000
     split: int = 64
@@ -89,6 +95,11 @@ def _parts(blob: bytes) -> list[np.ndarray]:
     return found
 
 
+def word_parts(words: np.ndarray, split: int) -> np.ndarray:
+    """The part of a divided context that each word belongs to."""
+    return (mix64(words ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(split)).astype(np.int64)
+
+
 class Layout:
     """Distinct words and pairs of a pack, in the order in which shards see them.
 
@@ -118,10 +129,11 @@ class Layout:
         self.left, self.right = pairs // len(words), pairs % len(words)
         home = (mix64(words) % np.uint64(shards)).astype(np.int64)
         shard = home[self.left]
-        often = np.flatnonzero(np.isin(words, hot))
-        if len(often):
-            spread = np.flatnonzero(np.isin(self.left, often))
-            part = mix64(words[self.right[spread]]) % np.uint64(split)
+        self.parts = word_parts(words, split)
+        self.divided = np.isin(words, hot)[self.left]
+        spread = np.flatnonzero(self.divided)
+        if len(spread):
+            part = self.parts[self.right[spread]].astype(np.uint64)
             shard[spread] = (
                 mix64(words[self.left[spread]] + part * np.uint64(0x9E3779B97F4A7C15))
                 % np.uint64(shards)
@@ -166,7 +178,7 @@ def _blobs(layout: Layout, learned: np.ndarray):
         )
 
 
-def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
+def _answer(pdf: pd.DataFrame, config: ModelConfig) -> pd.DataFrame:
     """Add up the counts of one shard, build its trie, and answer every pack from it."""
     asked = [_parts(b) for b in pdf["blob"]]
     words, count = _added(np.concatenate([a[0] for a in asked]), [a[1] for a in asked])
@@ -185,17 +197,23 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     first, second = first[at], second[at]
     many = np.add.reduceat(many, at) if len(at) else many
     contexts, totals = _added(first, [many])
-    share = many / totals[np.searchsorted(contexts, first)]
+    kinds = np.bincount(np.searchsorted(contexts, first), minlength=len(contexts))
+    share = (many - config.discount) / totals[np.searchsorted(contexts, first)]
     trie = Trie(Trie.image(first, second, share))
     out = []
     for asking, x, y in zip(asked, left, right):
         # Every word asked for is among ``words``; a context may be new to training.
         own = np.minimum(np.searchsorted(contexts, asking[2]), max(0, len(contexts) - 1))
-        part = np.zeros(len(asking[2]), np.int64)
+        part = kind = np.zeros(len(asking[2]), np.int64)
         if len(contexts):
-            part = np.where(contexts[own] == asking[2], totals[own], 0)
-        out.append(_dense([count[np.searchsorted(words, asking[0])], part, trie.lookup(x, y)]))
+            same = contexts[own] == asking[2]
+            part, kind = np.where(same, totals[own], 0), np.where(same, kinds[own], 0)
+        own_count = count[np.searchsorted(words, asking[0])]
+        out.append(_dense([own_count, part, kind, trie.lookup(x, y)]))
     seen = count > 0
+    mass = np.bincount(
+        word_parts(words[seen], config.split), weights=count[seen] + 1.0, minlength=config.split
+    )
     return pd.DataFrame(
         {
             "pack": pdf["pack"],
@@ -204,6 +222,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
             # Totals of the shard stand in its first row.
             "tokens": [int(count.sum())] + [0] * (len(out) - 1),
             "types": [int(seen.sum())] + [0] * (len(out) - 1),
+            "mass": [mass.tolist()] + [None] * (len(out) - 1),
         }
     )
 
@@ -306,11 +325,23 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
         packs.select("pack", "held", "texts")
         .mapInArrow(emit, "pack string, shard long, blob binary")
         .groupBy("shard")
-        .applyInPandas(_answer, "pack string, shard long, answer binary, tokens long, types long"),
+        .applyInPandas(
+            lambda pdf: _answer(pdf, config),
+            "pack string, shard long, answer binary, tokens long, types long, mass array<double>",
+        ),
         "answers",
     )
     totals = answers.agg(F.sum("tokens"), F.sum("types")).first()
     train_tokens, types = int(totals[0] or 0), int(totals[1] or 0)
+    masses = (
+        answers.filter("mass is not null")
+        .select(F.posexplode("mass").alias("part", "mass"))
+        .groupBy("part")
+        .agg(F.sum("mass").alias("mass"))
+        .toPandas()
+    )
+    chance = np.full(config.split, 1.0 / (train_tokens + types + 1))
+    chance[masses["part"]] += masses["mass"] / (train_tokens + types + 1)
 
     def finish(pack, answered):
         rows = []
@@ -318,14 +349,16 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
             layout = Layout(_texts(row.texts), shards, hot, config.split)
             count = np.zeros(len(layout.words), np.int64)
             part = np.zeros(len(layout.left), np.int64)
+            kind = np.zeros(len(layout.left), np.int64)
             code = np.zeros(len(layout.left), np.uint8)
             for s, answer in zip(answered["shard"], answered["answer"]):
                 mine, pairs, _, own = layout.shard(s)
-                words, contexts, codes = _parts(answer)
-                count[mine], part[pairs], code[pairs] = words, contexts[own], codes
+                words, sizes, kinds, code[pairs] = _parts(answer)
+                count[mine], part[pairs], kind[pairs] = words, sizes[own], kinds[own]
             ids = pd.array([None if i is None else int(i) for i in row.ids], dtype="Int64")
             held_out = np.array(row.held, dtype=bool)
-            rows.append(_scored(layout, ids, held_out, count, part, code, train_tokens, types, config))
+            scores = _scored(layout, count, (part, kind, code), chance, train_tokens, types, config)
+            rows.append(pd.DataFrame({"doc_id": ids, "held_out": held_out, **scores}))
         return pd.concat(rows)
 
     return (
@@ -339,27 +372,24 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
     )
 
 
-def _scored(layout, ids, held_out, count, part, code, train_tokens, types, config) -> pd.DataFrame:
+def _scored(layout, count, pairs, part_chance, train_tokens, types, config) -> dict:
     """Scores of a pack's documents from the answers of the shards."""
+    part, kind, code = pairs
     n = len(layout.sizes)
     unigram = (count + 1) / (train_tokens + types + 1)
     # A context's whole count is its count as a word; the beginning is a context only.
     begin = np.searchsorted(layout.words, _BEGIN)
     context = count.copy()
-    starts = np.flatnonzero(layout.left == begin)
-    context[begin] = part[starts].max(initial=0)
-    whole = context[layout.left].astype(float)
-    share = code_shares()[code] * part
-    chance = (share + config.strength * unigram[layout.right]) / (whole + config.strength)
+    context[begin] = part[layout.left == begin].max(initial=0)
+    share = np.where(layout.divided, part_chance[layout.parts[layout.right]], 1.0)
+    seen = code_shares()[code] * part
+    given = (config.discount * kind / share + config.imagined) * unigram[layout.right]
+    chance = (seen + given) / (context[layout.left] + config.imagined)
     per = lambda values: np.bincount(layout.document, weights=values, minlength=n)
-    return pd.DataFrame(
-        {
-            "doc_id": ids,
-            "held_out": held_out,
-            "n_tokens": layout.sizes,
-            "n_known": per((count > 0)[layout.number].astype(float)).astype(np.int64),
-            "train_tokens": train_tokens,
-            "base_score": per(np.log10(unigram)[layout.number]),
-            "score": per(np.log10(chance)[layout.pair]),
-        }
-    )
+    return {
+        "n_tokens": layout.sizes,
+        "n_known": per((count > 0)[layout.number].astype(float)).astype(np.int64),
+        "train_tokens": np.full(n, train_tokens, dtype=np.int64),
+        "base_score": per(np.log10(unigram)[layout.number]),
+        "score": per(np.log10(chance)[layout.pair]),
+    }
