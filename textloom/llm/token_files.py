@@ -40,8 +40,12 @@ _ODD = (
     r" (?:[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
     r"\x{3000}]|\z)"
 )
-#: Strings whose ids a worker keeps; beyond it, others are encoded each time.
-KEPT_STRINGS = 1_000_000
+#: Pieces whose ids a worker keeps; once full, others are encoded each time they come.
+KEPT_PIECES = 500_000
+#: Text encoded at once.
+ENCODE_BYTES = 3 * 1024 * 1024
+# Fixed value: ASCII signs that a piece of letters or digits never runs into.
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 FILE_SCHEMA = "doc_id long, part long, part_start long, n_tokens long, tokens array<int>"
 
@@ -49,9 +53,9 @@ FILE_SCHEMA = "doc_id long, part long, part_start long, n_tokens long, tokens ar
 class Encoder:
     """Encodes many texts with a tokenizer of the ``tokenizers`` library.
 
-    For byte-level pair encoding, a piece of text that starts with a single
-    space is encoded alike wherever it stands, so each distinct piece is
-    encoded once. All other tokenizers, and texts with runs of white space
+    For byte-level pair encoding, what starts with a single space is encoded
+    alike wherever it stands, and so are signs behind it; each distinct piece
+    is encoded once. All other tokenizers, and texts with runs of white space
     after a space or with special tokens in them, are encoded whole.
     """
 
@@ -79,24 +83,63 @@ class Encoder:
         self.bytes = str.maketrans({chr(b): c for b, c in names.items()})
         self.known: dict[str, int] = {}
         self.ids, self.ends = array("i"), array("q", [0])
-
-    def _piece_ids(self, text: str) -> list[int]:
-        found = []
-        for piece in self.piece.findall(text):
-            coded = piece.encode().decode("latin1").translate(self.bytes)
-            found += [t.id for t in self.model.tokenize(coded)]
-        return found
+        self.known[""] = self._add([])
+        self.kept = len(self.ends)
 
     def _add(self, ids: list[int]) -> int:
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
         return len(self.ends) - 2
 
+    def _ids(self, piece: str) -> list[int]:
+        coded = piece.encode().decode("latin1").translate(self.bytes)
+        return [t.id for t in self.model.tokenize(coded)]
+
+    def _places(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each string's front and of the signs at its end stand."""
+        front, back = np.empty(len(strings), np.int64), np.empty(len(strings), np.int64)
+        known, add, tokens = self.known, self._add, self._ids
+        new: dict[str, int] = {}
+
+        def place(piece: str) -> int:
+            at = known.get(piece)
+            if at is None:
+                at = new.get(piece)
+                if at is None:
+                    at = new[piece] = add(tokens(piece))
+            return at
+
+        mixed = []
+        for k, string in enumerate(strings):
+            core = string.rstrip(_SIGNS)
+            if not core[-1:].isalnum():
+                core = string
+            at = known.get(core)
+            if at is None:
+                if core and not core.lstrip(" ").isalpha():
+                    pieces = [place(p) for p in self.piece.findall(core)]
+                    mixed.append((k, pieces, place(string[len(core) :])))
+                    continue
+                at = place(core)
+            front[k] = at
+            back[k] = place(string[len(core) :])
+        if len(known) < KEPT_PIECES:
+            known.update(new)
+            self.kept = len(self.ends)
+        ends, ids = self.ends, self.ids
+        for k, pieces, signs in mixed:
+            whole = [i for p in pieces for i in ids[ends[p] : ends[p + 1]]]
+            front[k] = pieces[0] if len(pieces) == 1 else add(whole)
+            back[k] = signs
+        return front, back
+
+    def _forget(self):
+        """Give up the ids that are not kept."""
+        del self.ends[self.kept :]
+        del self.ids[self.ends[-1] :]
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text closed by ``end_id``, and the ids of each text."""
-        if len(self.known) > KEPT_STRINGS:
-            self.known.clear()
-            self.ids, self.ends = array("i"), array("q", [0])
         if self.by_piece:
             odd = pc.match_substring_regex(texts, self.odd)
             odd = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
@@ -115,24 +158,20 @@ class Encoder:
         first[offsets[:-1]] = True
         lead = pc.if_else(pa.array(first), pa.scalar("", flat.type), pa.scalar(" ", flat.type))
         coded = pc.binary_join_element_wise(lead, flat, pa.scalar("", flat.type)).dictionary_encode()
-        places = np.empty(len(coded.dictionary), dtype=np.int64)
-        known = self.known
-        for k, string in enumerate(coded.dictionary.to_pylist()):
-            place = known.get(string)
-            if place is None:
-                place = known[string] = self._add(self._piece_ids(string))
-            places[k] = place
-        codes = places[coded.indices.to_numpy(zero_copy_only=False)]
+        front, back = self._places(coded.dictionary.to_pylist())
+        index = coded.indices.to_numpy(zero_copy_only=False)
+        codes = np.stack([front[index], back[index]], axis=1).ravel()
         if len(odd):
             whole = self.whole.encode_batch(strange, add_special_tokens=False)
-            codes[offsets[odd]] = [self._add(e.ids) for e in whole]
-        codes = np.insert(codes, offsets[1:], self._add([end_id]))
+            codes[2 * offsets[odd]] = [self._add(e.ids) for e in whole]
+        codes = np.insert(codes, 2 * offsets[1:], self._add([end_id]))
         ends = np.frombuffer(self.ends, dtype=np.int64)
         sizes = (ends[1:] - ends[:-1])[codes]
         ids = np.frombuffer(self.ids, dtype=np.int32)[ragged(ends[:-1][codes], sizes)]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        marks = total[offsets + np.arange(len(offsets))]
-        del ends  # a live view would keep the array from growing
+        marks = total[2 * offsets + np.arange(len(offsets))]
+        del ends  # a live view would keep the arrays from changing
+        self._forget()
         return ids, np.diff(marks)
 
 
@@ -142,7 +181,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     def encode(batches):
         encoder = worker_state(f"encoder {tokenizer_path}", lambda: Encoder(tokenizer_path))
         part, start = TaskContext.get().partitionId(), 0
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", ENCODE_BYTES):
             ids, sizes = encoder.encode(texts_of(batch), end_id)
             ends = np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays(
