@@ -184,15 +184,9 @@ def parsed(page: str) -> tuple[str | None, list[str], list[str]]:
     found = blocks(page)
     zones = {z for z, _ in found}
     body = next((z for z in ("article", "main") if z in zones), "open")
-    if body == "main":  # an article inside would have been found
-        body = ("main",)
-    elif body == "article":
-        body = ("article",)
-    else:
-        body = ("open",)
-    kept = [t for z, t in found if z in body]
+    kept = [t for z, t in found if z == body]
     outside = [t for z, t in found if z not in ("article", "main")]
-    if body == ("open",):
+    if body == "open":
         return (None if kept else ""), kept, outside
     return "\n".join(kept), [], outside
 
@@ -334,10 +328,13 @@ def unique_text(open_blocks: list[str], outside: list[str], covered: set[int]) -
 
 
 def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> DataFrame:
-    """``page_id, url, text`` of every row of ``pages``."""
+    """``page_id, url, text, outside_tokens, boilerplate_tokens`` of every row of ``pages``.
+
+    The last two tell how many tokens of the page stand outside its article,
+    and how many of these repeated runs cover.
+    """
     rows = parse_pages(pages)
     common = repeated_runs(rows, config)
-    unsettled = rows.filter("text is null")
     width = config.run
 
     def places(batches):
@@ -355,14 +352,15 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
                 {
                     "row": pa.array(row, pa.string()),
                     "host": pa.array(host, pa.string()),
-                    "place": pa.array(place, pa.int64()),
+                    "place": pa.array(place, pa.int32()),
                     "gram": pa.array(gram, pa.int64()),
                 }
             )
 
     covered = (
-        unsettled.select("row", "host", "outside")
-        .mapInArrow(places, "row string, host string, place long, gram long")
+        rows.filter(F.size("outside") > 0)
+        .select("row", "host", "outside")
+        .mapInArrow(places, "row string, host string, place int, gram long")
         .join(common, ["host", "gram"])
         .groupBy("row")
         .agg(F.collect_list("place").alias("places"))
@@ -370,18 +368,28 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
 
     def keep(batches):
         for batch in batches:
-            text = []
-            for open_, outside, starts in zip(*(batch.column(k).to_pylist() for k in range(2, 5))):
+            texts, outside_tokens, hidden_tokens = [], [], []
+            for text, open_, outside, starts in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
                 hidden = {p + k for p in starts or () for k in range(width)}
-                text.append(unique_text(open_, outside, hidden))
+                texts.append(unique_text(open_, outside, hidden) if text is None else text)
+                outside_tokens.append(sum(len(b.split()) for b in outside))
+                hidden_tokens.append(len(hidden))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(text, pa.string())],
-                names=["page_id", "url", "text"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(texts, pa.string()),
+                    pa.array(outside_tokens, pa.int64()),
+                    pa.array(hidden_tokens, pa.int64()),
+                ],
+                names=["page_id", "url", "text", "outside_tokens", "boilerplate_tokens"],
             )
 
-    decided = (
-        unsettled.join(covered, "row", "left")
-        .select("page_id", "url", "open", "outside", "places")
-        .mapInArrow(keep, "page_id long, url string, text string")
+    return (
+        rows.join(covered, "row", "left")
+        .select("page_id", "url", "text", "open", "outside", "places")
+        .mapInArrow(
+            keep,
+            "page_id long, url string, text string, outside_tokens long, boilerplate_tokens long",
+        )
     )
-    return rows.filter("text is not null").select("page_id", "url", "text").union(decided)

@@ -248,21 +248,23 @@ def _packs(docs: DataFrame, held: Column, config: ModelConfig) -> DataFrame:
             texts = pa.table({"text": texts_of(batch)})
             with pa.ipc.new_stream(sink, texts.schema) as stream:
                 stream.write_table(texts)
-            lists = lambda k, kind: pa.array([batch.column(k).to_pylist()], pa.list_(kind))
+            lists = lambda k, kind, none: pa.array(
+                [batch.column(k).fill_null(none).to_pylist()], pa.list_(kind)
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([f"{task}-{turn}"]),
-                    lists(0, pa.int64()),
-                    lists(1, pa.bool_()),
+                    lists(0, pa.int64(), 0),
+                    lists(1, pa.bool_(), False),
+                    pa.array([batch.column(0).is_valid().to_pylist()]),
                     pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)], pa.binary()),
                 ],
-                names=["pack", "ids", "held", "texts"],
+                names=["pack", "ids", "held", "named", "texts"],
             )
             turn += 1
 
-    return written(
-        rows.mapInArrow(pack, "pack string, ids array<long>, held array<boolean>, texts binary"), "packs"
-    )
+    schema = "pack string, ids array<long>, held array<boolean>, named array<boolean>, texts binary"
+    return written(rows.mapInArrow(pack, schema), "packs")
 
 
 def _joined(batches, limit: int):
@@ -355,7 +357,9 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
                 mine, pairs, _, own = layout.shard(s)
                 words, sizes, kinds, code[pairs] = _parts(answer)
                 count[mine], part[pairs], kind[pairs] = words, sizes[own], kinds[own]
-            ids = pd.array([None if i is None else int(i) for i in row.ids], dtype="Int64")
+            ids = pd.arrays.IntegerArray(
+                np.array(row.ids, dtype=np.int64), ~np.array(row.named, dtype=bool)
+            )
             held_out = np.array(row.held, dtype=bool)
             scores = _scored(layout, count, (part, kind, code), chance, train_tokens, types, config)
             rows.append(pd.DataFrame({"doc_id": ids, "held_out": held_out, **scores}))

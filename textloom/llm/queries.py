@@ -149,7 +149,10 @@ def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_html_text")
 def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.main_text(table(spark, sf_dir, "pages"))
-    return found.withColumn("n_chars", F.length("text").cast("long"))
+    length = F.length("text").cast("long")
+    return found.select(
+        "page_id", "url", "text", length.alias("n_chars"), "outside_tokens", "boilerplate_tokens"
+    )
 
 
 @query(
