@@ -73,6 +73,13 @@ def test_layouts(spark, tmp_path):
     assert examples("comma_questions", "train", "h\n1,A,0\n2,a,b,1\n\n3,B,1\n") == [
         ("train-1", "A", None, "0"), ("train-4", "B", None, "1")
     ]
+    many = "h\n" + "".join(f"{k},t{k},{k % 2}\n" for k in range(50_000))
+    assert len(examples("comma_questions", "dev", many)) == 50_000
+    path = str(tmp_path / "comma_questions_dev.tsv")
+    part = Y.read_examples(spark, "comma_questions", "dev", path, lines=(30_002, 34_999))
+    assert part.count() == 4_998 and part.filter("guid = 'dev-30002'").count() == 1
+    sizes = [Y.read_comma(spark, path, "dev", share=s).count() for s in ((0, 0.8), (0.8, 1))]
+    assert sum(sizes) == 50_000 and 9_000 < sizes[1] < 11_000
     with pytest.raises(ValueError, match="unknown dataset"):
         Y.spec("nope")
     assert [r.label for r in Y.labels_of(spark, "tweets").orderBy("label_id").collect()] == ["0", "4"]
@@ -132,9 +139,29 @@ def test_reports(spark, tmp_path):
     metrics = spark.createDataFrame([(0.5, 2)], "loss double, accuracy long")
     K.write_metrics(R.metric_lines(metrics), str(tmp_path / "m"))
     assert [r.value for r in spark.read.text(str(tmp_path / "m")).collect()] == ["accuracy = 2", "loss = 0.5"]
-    probs = spark.createDataFrame([([0.25, 0.75],)], "p array<double>")
-    K.write_probabilities(probs, "p", 2, str(tmp_path / "p"))
-    assert spark.read.text(str(tmp_path / "p")).first()[0] == "0.25\t0.75"
+    probs = spark.createDataFrame([(7, [0.25, 0.75])], "k int, p array<double>")
+    K.write_probabilities(probs, ["k"], "p", 2, str(tmp_path / "p"))
+    assert spark.read.text(str(tmp_path / "p")).first()[0] == "7\t0.25\t0.75"
     best = spark.createDataFrame([("q", 1, "t")], "qas_id string, rank int, text string")
     K.write_answers(best.select("qas_id", "text"), best, str(tmp_path / "a"), best.select("qas_id", F.lit(1.0).alias("score_diff")))
     assert spark.read.json(str(tmp_path / "a" / "null_odds")).first().score_diff == 1.0
+
+
+def test_line_ends_and_stable_document_ids(spark, tmp_path):
+    (tmp_path / "w.txt").write_bytes(b"one\r\ntwo\r\n\r\nthree\r\n \t\r\nfour\r\n")
+    rows = S.read_corpus(spark, str(tmp_path / "w.txt")).orderBy("doc_id").collect()
+    assert [r.text for r in rows] == ["one\ntwo", "three", "four"]
+    for name in "ab":
+        (tmp_path / f"{name}.txt").write_text("\n\n".join(f"{name}{k} x\ny" for k in range(200)))
+        (tmp_path / f"{name}.json").write_text("\n".join(json.dumps({"inputs": f"{name}{k}", "label": k}) for k in range(200)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("400", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            docs = S.read_corpus(spark, f"{tmp_path}/a.txt,{tmp_path}/b.txt").collect()
+            guids = Y.read_record_examples(spark, [str(tmp_path / f"{n}.json") for n in "ab"], "train").collect()
+            seen.append((sorted((r.doc_id, r.text) for r in docs), sorted((r.guid, r.text_a) for r in guids)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0] == seen[1] and len(seen[0][0]) == 400

@@ -138,17 +138,27 @@ def balance_down(
     return ranked.filter(F.col("rank") < smallest).drop("rank")
 
 
+#: Draws made from one row.
+_BLOCK = 10_000
+
+
 def balance_to(
     rows: DataFrame, label: str, keys: list[str], size: int, seed: str = "12345"
 ) -> DataFrame:
     """With replacement, exactly ``size`` rows per label; adds ``draw_no``.
 
-    Picks are spread over tasks by draw number and meet the rows by equality
-    on (label, rank), so a large label is never gathered in one task.
+    Draw numbers are made in blocks that are dealt out before they are
+    expanded, and meet the rows by equality on (label, rank), so neither a
+    large label nor a large ``size`` is gathered in one task.
     """
     ranked = hash_ranked(rows, label, keys, seed)
     sizes = ranked.groupBy(label).agg(F.count("*").alias("n"))
-    picks = sizes.withColumn("draw_no", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
+    blocks = sizes.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit((size - 1) // _BLOCK))))
+    if size > _BLOCK:
+        blocks = blocks.repartition(label, "_block")
+    first = F.col("_block") * _BLOCK
+    last = F.least(first + _BLOCK, F.lit(size)) - 1
+    picks = blocks.withColumn("draw_no", F.explode(F.sequence(first, last)))
     digest = draw_hex(seed + "/replace", F.col(label), F.col("draw_no"))
     wanted = picks.select(label, "draw_no", pick(digest, F.col("n")).alias("rank"))
     return ranked.join(wanted, [label, "rank"]).drop("rank")
@@ -160,7 +170,8 @@ def row_range(rows: DataFrame, order: list[str], first: int, last: int) -> DataF
 
 
 def prefix(rows: DataFrame, order: list[str], n: int) -> DataFrame:
-    return rows.orderBy(*order).limit(n)
+    """The first ``n`` rows in ``order``; any number of them, spread over the tasks."""
+    return dense_index(rows, order, "_row_no").filter(F.col("_row_no") < n).drop("_row_no")
 
 
 def batches(rows: DataFrame, order: list[str], size: int, drop_last: bool = False) -> DataFrame:

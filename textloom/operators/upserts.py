@@ -20,9 +20,10 @@ def _latest(columns: list[str], order: list[str]):
 def replace_records(inferences: DataFrame, tie: str = "seq") -> DataFrame:
     """Last write wins per md5(url): the whole record is replaced.
 
-    Input ``(url, payload, recommendation, ts, <tie>)``.
+    Input ``(url, payload, recommendation, ts, <tie>)``. ``<tie>`` is kept, so
+    that later changes can tell what came after the record.
     """
-    columns = ["url", "payload", "recommendation", "ts"]
+    columns = ["url", "payload", "recommendation", "ts", tie]
     newest = inferences.groupBy(url_key(F.col("url")).alias("_id")).agg(
         _latest(columns, ["ts", tie]).alias("r")
     )
@@ -30,19 +31,24 @@ def replace_records(inferences: DataFrame, tie: str = "seq") -> DataFrame:
 
 
 def apply_feedback(records: DataFrame, feedback: DataFrame, tie: str = "seq") -> DataFrame:
-    """Set ``golden_standard`` and ``ts`` on existing records; never inserts."""
+    """Set ``golden_standard``, ``ts`` and ``<tie>`` on existing records; never inserts.
+
+    Feedback is applied only where it is newer than the record by
+    ``(ts, <tie>)``: a record that was replaced after it has lost it.
+    """
     newest = feedback.groupBy(url_key(F.col("url")).alias("_id")).agg(
-        _latest(["golden_standard", "ts"], ["ts", tie]).alias("f")
+        _latest(["golden_standard", "ts", tie], ["ts", tie]).alias("f")
     )
     joined = records.join(newest, "_id", "left")
-    kept = [c for c in records.columns if c not in ("ts", "golden_standard")]
+    kept = [c for c in records.columns if c not in ("ts", tie, "golden_standard")]
     old = F.col("golden_standard") if "golden_standard" in records.columns else F.lit(None)
+    later = F.struct("f.ts", f"f.{tie}") > F.struct("ts", tie)
+    newer = F.col("f").isNotNull() & later
     return joined.select(
         *kept,
-        F.when(F.col("f").isNotNull(), F.col("f.golden_standard"))
-        .otherwise(old.cast("string"))
-        .alias("golden_standard"),
-        F.coalesce("f.ts", "ts").alias("ts"),
+        F.when(newer, F.col("f.golden_standard")).otherwise(old.cast("string")).alias("golden_standard"),
+        F.when(newer, F.col("f.ts")).otherwise(F.col("ts")).alias("ts"),
+        F.when(newer, F.col(f"f.{tie}")).otherwise(F.col(tie)).alias(tie),
     )
 
 

@@ -167,12 +167,12 @@ def _reviews(spark, sf):
 
 @query("lbl6_review_dataset", _review_sql(f"array_to_string({Q.sentences('text')}, ' ')", 10000))
 def review_dataset(spark, sf):
-    return D.review_dataset(_reviews(spark, sf), ["doc_id"]).withColumn("inputs", F.md5("inputs"))
+    return D.review_dataset(_reviews(spark, sf), ["doc_id"], max_tokens=10000).withColumn("inputs", F.md5("inputs"))
 
 
 @query("top6_first_sentence_reviews", _review_sql(f"coalesce(({Q.sentences('text')})[1], '')", 512))
 def first_sentence(spark, sf):
-    rows = D.review_dataset(_reviews(spark, sf), ["doc_id"], first_sentence_only=True)
+    rows = D.review_dataset(_reviews(spark, sf), ["doc_id"], first_sentence_only=True, max_tokens=512)
     return rows.withColumn("inputs", F.md5("inputs"))
 
 

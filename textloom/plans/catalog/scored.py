@@ -176,14 +176,18 @@ def training_loss(spark, sf):
     return R.masked_metrics(_slots(spark, sf)).select("training_loss")
 
 
+# Classes of the scored vectors.
+_CLASSES = 64
+
+
 @query(
     "snk5_probabilities",
-    "WITH " + X + """ SELECT vec_id, round(exp(x[1] - m) / t, 6) AS p0, round(exp(x[2] - m) / t, 6) AS p1,
- round(exp(x[3] - m) / t, 6) AS p2 FROM z""",
+    "WITH " + X + " SELECT vec_id, "
+    + ", ".join(f"round(exp(x[{i + 1}] - m) / t, 6) AS p{i}" for i in range(_CLASSES)) + " FROM z",
 )
 def probabilities(spark, sf):
     rows = logits(spark, sf).withColumn("probs", A.softmax(F.col("x")))
-    return rows.select("vec_id", *probability_columns(rows, "probs", 3))
+    return rows.select("vec_id", *probability_columns(rows, "probs", _CLASSES))
 
 
 @query(

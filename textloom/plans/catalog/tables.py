@@ -170,20 +170,25 @@ fb AS (
     _LOG + " SELECT _id, url, props AS payload, event_type AS recommendation, ts FROM inf",
 )
 def replace_upsert(spark, sf):
-    return U.replace_records(changes(spark, sf).filter("kind = 'infer'"))
+    return U.replace_records(changes(spark, sf).filter("kind = 'infer'")).drop("seq")
 
 
 @query(
     "snk10_partial_update",
-    _LOG + """ SELECT inf._id, inf.url, inf.props AS payload, inf.event_type AS recommendation,
- round(fb.golden::DOUBLE, 2) AS golden, coalesce(fb.ts, inf.ts) AS ts FROM inf LEFT JOIN fb ON fb._id = inf._id""",
+    # By time: the last inference of a key, then the last feedback among the rows after it.
+    _LOG + """, after_ AS (
+  SELECT l._id, l.golden, l.ts, l.seq FROM log l JOIN inf ON inf._id = l._id
+  WHERE l.event_type = 'purchase' AND (l.ts > inf.ts OR (l.ts = inf.ts AND l.seq > inf.seq))
+  QUALIFY row_number() OVER (PARTITION BY l._id ORDER BY l.ts DESC, l.seq DESC) = 1)
+SELECT inf._id, inf.url, inf.props AS payload, inf.event_type AS recommendation,
+ round(a.golden::DOUBLE, 2) AS golden, coalesce(a.ts, inf.ts) AS ts FROM inf LEFT JOIN after_ a ON a._id = inf._id""",
 )
 def partial_update(spark, sf):
     log = changes(spark, sf)
     records = U.replace_records(log.filter("kind = 'infer'"))
     updated = U.apply_feedback(records, log.filter("kind = 'feedback'"))
     golden = F.round(F.col("golden_standard").cast("double"), 2)
-    return updated.withColumn("golden", golden).drop("golden_standard")
+    return updated.withColumn("golden", golden).drop("golden_standard", "seq")
 
 
 @query(

@@ -10,9 +10,15 @@ from textloom.operators import labels as L
 from textloom.session import cut
 
 
-def tagged_text(text, max_sentences: int = 40):
-    """Flatten lines, keep the first sentences, drop non-ASCII, squeeze."""
-    kept = F.slice(X.sentences(X.flat_lines(text)), 1, max_sentences)
+#: Fixed value: sentences that the tagged sets keep of a text.
+TAGGED_SENTENCES = 40
+
+
+def tagged_text(text, max_sentences: int | None = TAGGED_SENTENCES):
+    """Flatten lines, keep the first sentences (None: all), drop non-ASCII, squeeze."""
+    kept = X.sentences(X.flat_lines(text))
+    if max_sentences is not None:
+        kept = F.slice(kept, 1, max_sentences)
     return X.squeeze(X.ascii_only(F.array_join(kept, " ")))
 
 
@@ -24,6 +30,7 @@ def tagged_dataset(
     train_share: float = 0.85,
     keep_other: bool = False,
     split: bool = True,
+    max_sentences: int | None = TAGGED_SENTENCES,
 ) -> tuple[DataFrame, DataFrame]:
     """Tagged documents to ``(key, tag, label_no, label, label_id, split, inputs)``
     and the label lists. All tag columns are handled together.
@@ -40,7 +47,7 @@ def tagged_dataset(
         kept = keyed.join(texts, key)
     else:
         kept = kept.withColumn("split", F.lit("train"))
-    out = kept.withColumn("inputs", tagged_text(F.col("text"))).select(
+    out = kept.withColumn("inputs", tagged_text(F.col("text"), max_sentences)).select(
         key, "tag", "label_no", "label", "label_id", "split", "inputs"
     )
     return out, L.selected_labels(rows, top, keep_other)
@@ -72,10 +79,11 @@ def review_tokens(text, first_sentence_only: bool):
 def review_dataset(
     reviews: DataFrame, keys: list[str], first_sentence_only: bool = False, max_tokens: int | None = None
 ) -> DataFrame:
-    """``(keys, label, text)`` to cleaned inputs, over-long texts dropped."""
-    limit = max_tokens or (512 if first_sentence_only else 10000)
-    return (
-        reviews.withColumn("tokens", review_tokens(F.col("text"), first_sentence_only))
-        .filter(F.size("tokens") < limit)
-        .select(*keys, X.joined_lower(F.col("tokens"), strip=True).alias("inputs"), "label")
-    )
+    """``(keys, label, text)`` to cleaned inputs.
+
+    ``max_tokens`` drops texts of that many tokens or more; None keeps all.
+    """
+    rows = reviews.withColumn("tokens", review_tokens(F.col("text"), first_sentence_only))
+    if max_tokens is not None:
+        rows = rows.filter(F.size("tokens") < max_tokens)
+    return rows.select(*keys, X.joined_lower(F.col("tokens"), strip=True).alias("inputs"), "label")

@@ -8,8 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.functions.draws import TWO32, draw_bits, draw_hex
 from textloom.operators.labels import guid
+from textloom.operators.order import dense_index
 from textloom.sources.readers import label_list, read_fields, read_lines, read_records
+from textloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -60,16 +63,30 @@ def comma_rows(lines: DataFrame) -> DataFrame:
     return lines.withColumn("fields", fields).filter(F.size("fields") == 3)
 
 
-# Kept line ranges of the comma layout per split (0-based).
-COMMA_RANGES = {"train": (1, 29999), "dev": (30002, 34999), "test": (35002, 39999)}
-
-
-def read_comma(spark: SparkSession, path: str, split: str) -> DataFrame:
-    first, last = COMMA_RANGES[split]
-    lines = read_lines(spark, path).filter(F.col("line_no").between(first, last))
-    origin = F.lit(0 if split == "train" else first - 1)
-    return comma_rows(lines).select(
-        guid("train" if split == "train" else "dev", F.col("line_no") - origin).alias("guid"),
+def read_comma(
+    spark: SparkSession,
+    path: str,
+    split: str,
+    lines: tuple[int, int] | None = None,
+    share: tuple[float, float] | None = None,
+    header: bool = True,
+) -> DataFrame:
+    """Comma rows of one split of a file; every line that is asked for is kept.
+
+    All lines by default. ``lines`` keeps the 0-based range ``first`` to
+    ``last``, ``share`` the lines whose hashed draw lies in ``[low, high)``, so
+    that shares that tile 0 to 1 part the file. Row numbers are line numbers.
+    """
+    rows = read_lines(spark, path)
+    if header:
+        rows = rows.filter("line_no > 0")
+    if lines is not None:
+        rows = rows.filter(F.col("line_no").between(*lines))
+    if share is not None:
+        draw = draw_bits(draw_hex("12345/comma", F.col("line_no"))) / TWO32
+        rows = rows.filter((draw >= share[0]) & (draw < share[1]))
+    return comma_rows(rows).select(
+        guid(split, F.col("line_no")).alias("guid"),
         F.element_at("fields", 2).alias("text_a"),
         F.lit(None).cast("string").alias("text_b"),
         F.element_at("fields", 3).alias("label"),
@@ -77,10 +94,19 @@ def read_comma(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def read_record_examples(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """JSON records; every record counts, also the first of a test set."""
-    numbered = read_records(spark, path).withColumn("mid", F.monotonically_increasing_id())
+    """JSON records; every record counts, also the first of a test set.
+
+    Numbered from 0 in file order, whatever the splits.
+    """
+    places = {
+        "file": F.col("_metadata.file_path"),
+        "block": F.col("_metadata.file_block_start"),
+        "mid": F.monotonically_increasing_id(),
+    }
+    placed = cut(read_records(spark, path, places))
+    numbered = dense_index(placed, ["file", "block", "mid"], "row_no")
     return numbered.select(
-        guid(split, F.col("mid")).alias("guid"),
+        guid(split, F.col("row_no")).alias("guid"),
         F.col("inputs").alias("text_a"),
         F.lit(None).cast("string").alias("text_b"),
         "label",
@@ -116,7 +142,9 @@ SPECS = {
             "test": Layout(1, constant="0"),
         },
     ),
-    "comma_questions": DatasetSpec(("0", "1"), {s: None for s in COMMA_RANGES}, read_comma),
+    "comma_questions": DatasetSpec(
+        ("0", "1"), {s: None for s in ("train", "dev", "test")}, read_comma
+    ),
     "tagged": DatasetSpec((), {s: None for s in ("train", "dev", "test")}, read_record_examples),
     "reviews": DatasetSpec(("0", "1"), {s: None for s in ("train", "dev", "test")}, read_record_examples),
     "tweets": DatasetSpec(("0", "4"), {s: None for s in ("train", "dev", "test")}, read_record_examples),
@@ -129,13 +157,13 @@ def spec(name: str) -> DatasetSpec:
     return SPECS[name]
 
 
-def read_examples(spark: SparkSession, name: str, split: str, path: str) -> DataFrame:
-    """Any registered layout to ``(guid, text_a, text_b, label)``."""
+def read_examples(spark: SparkSession, name: str, split: str, path: str, **options) -> DataFrame:
+    """Any registered layout to ``(guid, text_a, text_b, label)``; ``options`` go to its reader."""
     chosen = spec(name)
     if split not in chosen.splits:
         raise ValueError(f"layout {name} has no split {split}")
     if chosen.reader is not None:
-        return chosen.reader(spark, path, split)
+        return chosen.reader(spark, path, split, **options)
     layout = chosen.splits[split]
     return apply_layout(read_fields(spark, path, header=layout.header), layout, split)
 
