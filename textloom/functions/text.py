@@ -109,8 +109,11 @@ def _decompose(char: Column) -> Column:
 def strip_accents(text: Column) -> Column:
     """Canonical decomposition without the non-spacing marks."""
     src, dst, longer = accent_tables()
+    # Only these characters have several kept parts; all others are one table away.
+    several = "".join(f"\\x{{{ord(c):X}}}" for c in sorted(longer))
+    hangul = "-".join(f"\\x{{{ord(c):X}}}" for c in _HANGUL)
     opened = F.when(
-        text.rlike(f"[{min(longer)}-\\x{{10FFFF}}]"), F.array_join(F.transform(F.split(text, ""), _decompose), "")
+        text.rlike(f"[{several}{hangul}]"), F.array_join(F.transform(F.split(text, ""), _decompose), "")
     ).otherwise(text)
     plain = F.regexp_replace(F.translate(opened, src, dst), "\\p{Mn}", "")
     return F.when(text.rlike(_NON_ASCII), plain).otherwise(text)

@@ -194,12 +194,16 @@ def encode(
     dictionary = word_dictionary(docs, units, vocab, facts)
     payload = ["ids", "pieces"] if with_pieces else ["ids"]
     entries = dictionary.select("word", "n", *payload)
-    occurrences = docs.select(
+    few = small_enough(entries, max_broadcast)
+    # Beside a broadcast dictionary, rows keep the place their document has, so
+    # documents are dealt by key while they are compact and words never are.
+    source = docs.repartition(*keys) if few else docs
+    occurrences = source.select(
         *keys, F.posexplode_outer(units).alias("pos", "item")
     ).select(*keys, "pos", F.col("item.unit").alias("unit"), F.col("item.word").alias("word"))
     occurrences = occurrences.withColumn("word", _bounded("word"))
 
-    if small_enough(entries, max_broadcast):
+    if few:
         joined = occurrences.join(F.broadcast(entries.drop("n")), "word", "left")
     else:
         # Fewer than max_broadcast words can each hold more than
@@ -238,9 +242,12 @@ def lookup(
 
     A missing element is an error, as in a dictionary lookup.
     """
+    few = small_enough(table.select(key, value))
+    entries = F.broadcast(table.select(key, value)) if few else table.select(key, value)
+    source = df.repartition(*keys) if few else df
     found = (
-        df.select(*keys, F.posexplode_outer(values).alias("pos", key))
-        .join(broadcast_if_small(table.select(key, value)), key, "left")
+        source.select(*keys, F.posexplode_outer(values).alias("pos", key))
+        .join(entries, key, "left")
         .withColumn(
             value,
             F.when(
@@ -273,10 +280,27 @@ def alignment(encoded: DataFrame, keys: list[str]) -> DataFrame:
 
     ``piece_units`` is ascending, so a unit's pieces are one contiguous run.
     """
-    runs = encoded.select(*keys, F.posexplode("piece_units").alias("piece_no", "unit"))
-    return runs.groupBy(*keys, "unit").agg(
-        F.min("piece_no").alias("first_piece"), F.count("*").cast("int").alias("n_pieces")
-    )
+
+    def runs(units, n):
+        starts = F.filter(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: (i == 0) | (F.get(units, i) != F.get(units, i - 1)),
+        )
+        return let(
+            lambda firsts: F.transform(
+                firsts,
+                lambda first, k: F.struct(
+                    F.get(units, first).alias("unit"),
+                    first.alias("first_piece"),
+                    (F.coalesce(F.get(firsts, k + 1), n) - first).alias("n_pieces"),
+                ),
+            ),
+            starts,
+        )
+
+    found = let(runs, F.col("piece_units"), F.size("piece_units"))
+    rows = encoded.filter(F.size("piece_units") > 0).select(*keys, F.explode_outer(found).alias("run"))
+    return rows.select(*keys, "run.unit", "run.first_piece", "run.n_pieces")
 
 
 def project_labels(encoded: DataFrame, labels: str) -> DataFrame:

@@ -17,7 +17,7 @@ from textloom.functions import text as X
 from textloom.operators.order import running_start
 from textloom.operators.sequences import fixed_width
 from textloom.operators.subword import CLS, SEP, VocabFacts, encode, vocab_facts
-from textloom.session import cut
+from textloom.session import broadcast_if_small, cut
 
 FIRST_UNIQUE_ID = 1_000_000_000
 
@@ -246,6 +246,32 @@ def _room(cfg: WindowConfig) -> Column:
     return F.lit(cfg.max_length - 3) - F.size("query")
 
 
+def _cut_windows() -> Column:
+    """All windows of a row as ``(window_no, part, words)``; body and words are bound once."""
+
+    def window_of(part: Column, k: Column, words: Column) -> Column:
+        first, last = F.get(part, F.lit(0))["piece_units"], F.element_at(part, -1)["piece_units"]
+        return F.struct(
+            k.alias("window_no"),
+            part.alias("part"),
+            F.slice(words, first + 1, last - first + 1).alias("words"),
+        )
+
+    def cut_up(body, words, n, room, step, count):
+        parts = F.transform(
+            F.sequence(F.lit(0), count - 1),
+            lambda k: F.slice(body, k * step + 1, F.least(room, n - k * step)),
+        )
+        return F.transform(parts, lambda part, k: window_of(part, k, words))
+
+    return A.let(
+        cut_up,
+        F.col("body"),
+        context_words(F.col("context")),
+        *[F.col(c) for c in ("n", "room", "step", "count")],
+    )
+
+
 def windows(
     encoded: DataFrame, cfg: WindowConfig, facts: VocabFacts, training: bool = True
 ) -> DataFrame:
@@ -262,16 +288,20 @@ def windows(
         spans.withColumn("step", F.least("room", F.lit(cfg.stride)))
         .withColumn("count", window_count(F.col("n"), F.col("room"), cfg.stride))
         .filter("count > 0")
-        .withColumn("window_no", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
+        .withColumn("shift", F.size("query") + 2)
+        # The windows are cut inside the row; what is exploded holds its own
+        # pieces and words only, never the document. The outer form keeps the
+        # optimiser from cutting twice to see whether there are any.
+        .withColumn("window", F.explode_outer(_cut_windows()))
+        .withColumn("window_no", F.col("window.window_no"))
+        .withColumn("part", F.col("window.part"))
         .withColumn("first", F.col("window_no") * F.col("step"))
         .withColumn("length", F.least("room", F.col("n") - F.col("first")))
-        .withColumn("part", F.slice("body", F.col("first") + 1, F.col("length")))
-        .withColumn("shift", F.size("query") + 2)
     )
     shape = [F.col(c) for c in ("n", "room", "step", "count")]
     best_first = best_from(F.col("window_no"), *shape)
     best_last = best_from(F.col("window_no") + 1, *shape) - 1
-    first_word, last_word = F.get("part.piece_units", F.lit(0)), F.element_at("part.piece_units", -1)
+    first_word = F.get("part.piece_units", F.lit(0))
     numbered = "first_id" in encoded.columns
     unique = F.col("first_id") + F.col("window_no") + FIRST_UNIQUE_ID if numbered else None
     out = spans.select(
@@ -289,9 +319,7 @@ def windows(
         F.col("query.ids").alias("a"),
         F.col("part.ids").alias("b"),
         first_word.alias("first_word"),
-        F.slice(
-            context_words(F.col("context")), first_word + 1, last_word - first_word + 1
-        ).alias("words"),
+        F.col("window.words").alias("words"),
         "is_impossible",
         *(_window_labels() if training else []),
     )
@@ -347,7 +375,11 @@ def question_windows(
     # ranked, the token arrays never take part in the ordering.
     counts = encoded.select(
         "qas_id",
+        "context_id",
+        "qa_no",
         window_count(F.size("body"), _room(cfg), cfg.stride).cast("long").alias("n_windows"),
     )
-    starts = running_start(counts, ["qas_id"], "n_windows", "first_id").select("qas_id", "first_id")
-    return windows(encoded.join(starts, "qas_id"), cfg, facts, training)
+    place = ["context_id", "qa_no"]
+    starts = running_start(counts, ["qas_id", *place], "n_windows", "first_id")
+    starts = cut(starts.select(*place, "first_id"))
+    return windows(encoded.join(broadcast_if_small(starts), place), cfg, facts, training)

@@ -35,15 +35,15 @@ def non_empty(spark, sf):
 
 @query(
     "src11_decode_features",
-    """SELECT vec_id, array_to_string(list_transform(embedding[1:8], lambda e: round(e::DOUBLE * 1000)::BIGINT), ' ') AS input_ids,
+    """SELECT vec_id, array_to_string(list_transform(embedding, lambda e: round(e::DOUBLE * 1000)::BIGINT), ' ') AS input_ids,
  label::BIGINT AS label_ids FROM embeddings""",
 )
 def decode(spark, sf):
-    wide = F.transform(F.slice("embedding", 1, 8), lambda e: F.round(e.cast("double") * 1000).cast("long"))
+    wide = F.transform("embedding", lambda e: F.round(e.cast("double") * 1000).cast("long"))
     stored = table(spark, sf, "embeddings").select(
         "vec_id", wide.alias("input_ids"), F.col("label").cast("long").alias("label_ids")
     )
-    return decode_features(stored, {"input_ids": 8})
+    return decode_features(stored, {"input_ids": 64})
 
 
 @query(

@@ -294,10 +294,10 @@ def per_question(spark, sf):
 
 @query(
     "jn8_pieces_in_windows",
-    BASE + " SELECT qas_id, p AS piece_no, count(*) AS windows FROM cover WHERE qas_id LIKE '%-0' GROUP BY 1, 2",
+    BASE + " SELECT qas_id, p AS piece_no, count(*) AS windows FROM cover GROUP BY 1, 2",
 )
 def pieces_in_windows(spark, sf):
-    rows = built(spark, sf).filter("not is_impossible")
+    rows = built(spark, sf)
     covered = rows.select(
         "qas_id",
         F.explode(
