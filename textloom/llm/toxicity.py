@@ -50,7 +50,7 @@ class ToxicityConfig:
     epochs: int = 20
     rate: float = 0.3
     decay: float = 1e-5
-    least_seen: int = 20
+    least_seen: int = 8
     prior: float = 8.0
     seed: int = 11
 
