@@ -121,10 +121,11 @@ def test_tagged_documents(spark, tmp_path):
     assert {(r.tag, r.label) for r in labels.collect()} == {("a", "x_y"), ("a", "other_remainder"), ("b", "only")}
     assert {r.inputs for r in got if r.tag == "a"} == {f"One {i}. Two caf" for i in range(9)}
     assert sum(r.split == "train" for r in got if r.tag == "a") == round(0.85 * 15)
-    K.write_dataset(rows, labels, str(tmp_path / "out"))
+    K.write_dataset(rows, labels, str(tmp_path / "out"), ["doc_id"], dev_share=0.5)
     back = spark.read.json(str(tmp_path / "out" / "records"))
     assert {r.split for r in back.collect()} == {"train", "test", "dev"}
-    assert back.filter("split = 'dev'").count() == back.filter("split = 'test'").count()
+    assert back.count() == len(got)
+    assert back.filter("split = 'test'").count() == sum(r.split == "test" for r in got)
 
 
 def test_feature_round_trip(spark, tmp_path):
@@ -165,3 +166,17 @@ def test_line_ends_and_stable_document_ids(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert seen[0] == seen[1] and len(seen[0][0]) == 400
+
+
+def test_label_file_and_hashed_instances(spark, tmp_path):
+    (tmp_path / "labels.txt").write_text("b\n a \n\nc\n")
+    rows = Y.labels_of(spark, "tagged", str(tmp_path / "labels.txt")).collect()
+    assert {r.label: r.label_id for r in rows} == {"b": 0, "a": 1, "c": 2}
+    with pytest.raises(ValueError, match="label file"):
+        Y.labels_of(spark, "tagged")
+    df = spark.range(1000).select((F.col("id") / 10).cast("int").alias("doc"), "id")
+    assert K.write_shards(df, str(tmp_path / "s"), 4, keys=["doc", "id"]) == 1000
+    back = spark.read.parquet(str(tmp_path / "s"))
+    assert sorted(r.id for r in back.collect()) == list(range(1000))
+    first = [r.doc for r in spark.read.parquet(str(sorted((tmp_path / "s").glob("part-*"))[0])).collect()]
+    assert sum(a == b for a, b in zip(first, first[1:])) < len(first) / 5

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from textloom.functions.draws import TWO32, draw_bits, draw_hex
 from textloom.operators.labels import guid
 from textloom.operators.order import dense_index
-from textloom.sources.readers import label_list, read_fields, read_lines, read_records
+from textloom.sources.readers import (
+    label_list,
+    read_fields,
+    read_label_list,
+    read_lines,
+    read_records,
+)
 from textloom.session import cut
 
 
@@ -168,5 +174,11 @@ def read_examples(spark: SparkSession, name: str, split: str, path: str, **optio
     return apply_layout(read_fields(spark, path, header=layout.header), layout, split)
 
 
-def labels_of(spark: SparkSession, name: str) -> DataFrame:
-    return label_list(spark, list(spec(name).labels))
+def labels_of(spark: SparkSession, name: str, path: str | None = None) -> DataFrame:
+    """Labels of a layout with their numbers; tagged sets name theirs in a file."""
+    known = list(spec(name).labels)
+    if path is not None:
+        return read_label_list(spark, path)
+    if not known:
+        raise ValueError(f"layout {name} needs a label file")
+    return label_list(spark, known)
