@@ -41,9 +41,9 @@ _ODD = (
     r"\x{3000}]|\z)"
 )
 #: Pieces whose ids a worker keeps; once full, others are encoded each time they come.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 300_000
 #: Text encoded at once.
-ENCODE_BYTES = 3 * 1024 * 1024
+ENCODE_BYTES = 2 * 1024 * 1024
 # Fixed value: ASCII signs that a piece of letters or digits never runs into.
 _SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
