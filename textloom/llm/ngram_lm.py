@@ -65,7 +65,7 @@ from textloom.llm.elias_fano import Trie, code_shares
 class ModelConfig:
     discount: float = 0.75
     imagined: float = 2.0
-    pack_bytes: int = 16 * 1024 * 1024
+    pack_bytes: int = 12 * 1024 * 1024
     look_rows: int = 1000
     split: int = 64
 
