@@ -9,16 +9,20 @@ pair that fails one of them needs no comparison.
    passage common to unlike documents leads nowhere. Any set of tokens may go
    there; the set only has to be the same for all, so a bounded one is taken.
 2. Equal token sets are one class. The classes' prefixes under the first
-   order meet by token. Each token's classes are tied to the smallest of them:
-   as many candidates as classes, not as pairs.
-3. Candidates are tested under the other orders and then exactly. Components
-   of the true links follow.
-4. Only where one token joins classes of different components may a link be
-   missing. Those pairs, if their sizes allow, are tested the same way. All
-   pairs inside a component are left alone: they can't change the components.
-
-No pair of different components is left untested that shares a token in the
-first order, so the components are exact, up to clashes of 64-bit hashes.
+   order meet by token. Each token's classes are tied to one of them, the
+   centre: as many candidates as classes, not as pairs. The first centres are
+   the classes with most shared tokens, as the original of many copies is;
+   further rounds take others by chance, for what is still apart.
+3. The closer the sizes of two sets, the earlier must both have a token in
+   common: for o common tokens, among the first ``n - o + 1``. Candidates that
+   do are tested under the other orders and then exactly. Components of the
+   true links follow.
+4. Only where such a token joins classes of different components may a link be
+   missing. Those pairs are tested the same way. All pairs inside a component
+   are left alone: they can't change the components.
+
+No pair of different components that may be alike is left untested, so the
+components are exact, up to clashes of 64-bit hashes.
 
 Defined results: null or empty texts, or texts without words, have no tokens
 and are linked with nothing; texts with fewer words than a shingle have one
@@ -38,6 +42,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import chunks, mix64, ragged, texts_of, window_hashes, word_hashes, written
 from textloom.llm.links import components
+from textloom.session import broadcast_if_small
 
 
 @dataclass(frozen=True)
@@ -46,11 +51,13 @@ class JaccardConfig:
     percent: int = 80
     orders: int = 3
     #: A token is common if this many documents hold it; counted per task from ``local`` on.
-    common: int = 32
-    local: int = 4
+    common: int = 16
+    local: int = 2
     most_common: int = 1_000_000
     #: Partners tested beside one copy of a centre's text.
     partners: int = 256
+    #: Rounds in which each token's classes meet one centre only.
+    turns: int = 1
 
 
 _SEEDS = [0x51ED270B7F4A7C15, 0x2545F4914F6CDD1D, 0x9E6C63D0876A9A47, 0xD1342543DE82EF95]
@@ -75,7 +82,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 
 def prefix(tokens: np.ndarray, seed: int, percent: int, common: np.ndarray | None = None) -> np.ndarray:
-    """Keys of the first tokens under the order of ``seed``, common tokens last."""
+    """Keys of the first tokens in the order of ``seed``, common tokens last."""
     size = prefix_size(len(tokens), percent)
     keys = mix64(tokens ^ np.uint64(seed))
     if common is not None and len(common):
@@ -83,9 +90,9 @@ def prefix(tokens: np.ndarray, seed: int, percent: int, common: np.ndarray | Non
         late = common[at] == tokens
         rare = keys[~late]
         if len(rare) < size:
-            return np.concatenate([rare, np.sort(keys[late])[: size - len(rare)]])
+            return np.concatenate([np.sort(rare), np.sort(keys[late])[: size - len(rare)]])
         keys = rare
-    return np.partition(keys, size - 1)[:size] if size < len(keys) else keys
+    return np.sort(np.partition(keys, size - 1)[:size] if size < len(keys) else keys)
 
 
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -143,14 +150,17 @@ def common_tokens(docs: DataFrame, config: JaccardConfig) -> np.ndarray:
 def profiles(docs: DataFrame, key: str, common: np.ndarray, buckets: int, config) -> DataFrame:
     """Written rows of two kinds: documents (``id, print, n, class``), packed prefixes by bucket."""
     spread = docs.sparkSession.sparkContext.broadcast(common)
-    schema = "id long, print long, n long, class long, bucket int, tokens binary, classes binary"
-    names = ["id", "print", "n", "class", "bucket", "tokens", "classes"]
+    schema = "id long, print long, n long, class long, bucket int, tokens binary, classes binary, "
+    schema += "places binary"
+    names = ["id", "print", "n", "class", "bucket", "tokens", "classes", "places"]
 
     def pack(keys, owners, classes):
+        places = np.concatenate([np.arange(len(k), dtype=np.int32) for k in keys])
         keys, owners = np.concatenate(keys), np.concatenate(owners)
         bucket = (keys % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         keys, owners, bucket = keys[order], np.array(classes, np.int64)[owners[order]], bucket[order]
+        places = places[order]
         used, first = np.unique(bucket, return_index=True)
         ends = np.append(first[1:], len(keys))
         none = pa.nulls(len(used), pa.int64())
@@ -163,6 +173,7 @@ def profiles(docs: DataFrame, key: str, common: np.ndarray, buckets: int, config
                 pa.array(used, pa.int32()),
                 pa.array([keys[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
                 pa.array([owners[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                pa.array([places[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
             ],
             names=names,
         )
@@ -185,6 +196,7 @@ def profiles(docs: DataFrame, key: str, common: np.ndarray, buckets: int, config
                     pa.nulls(len(sets), pa.int32()),
                     none,
                     none,
+                    none,
                 ],
                 names=names,
             )
@@ -209,115 +221,165 @@ def _named(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), "text", F.xxhash64("text").alias("print"))
 
 
-def _groups(tokens: np.ndarray, classes: np.ndarray):
+def _read(pdf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, classes and the tokens' places in the classes' prefixes, of packed rows."""
+    kinds = (("tokens", np.uint64), ("classes", np.int64), ("places", np.int32))
+    return tuple(np.concatenate([np.frombuffer(b, kind) for b in pdf[name]]) for name, kind in kinds)
+
+
+def _groups(tokens: np.ndarray, classes: np.ndarray, places: np.ndarray):
     """Distinct (token, class) rows of tokens with two classes or more, and group starts."""
     order = np.lexsort((classes, tokens))
-    tokens, classes = tokens[order], classes[order]
+    tokens, classes, places = tokens[order], classes[order], places[order]
     new = np.ones(len(tokens), dtype=bool)
     new[1:] = (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1])
-    tokens, classes = tokens[new], classes[new]
+    tokens, classes, places = tokens[new], classes[new], places[new]
     first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1])) if len(tokens) else np.zeros(0, int)
     sizes = np.diff(np.append(first, len(tokens)))
     shared = sizes > 1
     rows = ragged(first[shared], sizes[shared])
     sizes = sizes[shared]
-    return tokens[rows], classes[rows], np.cumsum(sizes) - sizes, sizes
+    return tokens[rows], classes[rows], places[rows], np.cumsum(sizes) - sizes, sizes
 
 
 def meetings(packed: DataFrame, buckets: int) -> DataFrame:
-    """Written rows per bucket: pairs (smallest class, class), and the packed groups."""
+    """Written rows per bucket: its packed groups, and how many group tokens each class has."""
 
     def meet(pdf):
         import pandas as pd
 
-        tokens = np.concatenate([np.frombuffer(b, np.uint64) for b in pdf["tokens"]])
-        classes = np.concatenate([np.frombuffer(b, np.int64) for b in pdf["classes"]])
-        tokens, classes, first, sizes = _groups(tokens, classes)
+        tokens, classes, places, _, _ = _groups(*_read(pdf))
         if not len(tokens):
-            return pd.DataFrame({"bucket": [], "a": [], "b": [], "tokens": [], "classes": []})
-        centre = np.repeat(classes[first], sizes)
-        pairs = np.unique(np.stack([centre, classes], axis=1)[centre != classes], axis=0)
-        n, bucket = len(pairs), int(pdf["bucket"].iloc[0])
+            return pd.DataFrame({c: [] for c in ("bucket", "class", "shared", "tokens", "classes", "places")})
+        members, shared = np.unique(classes, return_counts=True)
+        n = len(members)
         return pd.DataFrame(
             {
-                "bucket": [bucket] * (n + 1),
-                "a": pd.array([*pairs[:, 0].tolist(), None], dtype="Int64"),
-                "b": pd.array([*pairs[:, 1].tolist(), None], dtype="Int64"),
+                "bucket": [int(pdf["bucket"].iloc[0])] * (n + 1),
+                "class": pd.array([*members.tolist(), None], dtype="Int64"),
+                "shared": pd.array([*shared.tolist(), None], dtype="Int64"),
                 "tokens": [None] * n + [tokens.tobytes()],
                 "classes": [None] * n + [classes.tobytes()],
+                "places": [None] * n + [places.tobytes()],
             }
         )
 
     return written(
         packed.repartition(buckets, "bucket")
         .groupBy("bucket")
-        .applyInPandas(meet, "bucket int, a long, b long, tokens binary, classes binary"),
+        .applyInPandas(meet, "bucket int, class long, shared long, tokens binary, classes binary, places binary"),
         "meetings",
     )
 
 
-def remaining_pairs(met: DataFrame, roots: DataFrame, sizes: DataFrame, buckets: int, config) -> DataFrame:
-    """Pairs of classes of different components that share a token and fit in size.
+def _early(left, right, at, place, n, percent: int) -> np.ndarray:
+    """Whether entries of one token can be the first that two alike classes share.
 
-    ``met``: the rows of ``meetings``; ``roots``: component of the linked
-    classes; ``sizes``: tokens of each class.
+    Sets that overlap by o share a token among the first ``n - o + 1`` of each.
     """
-    stars = met.filter("a is not null")
-    inside = (
-        stars.select("bucket", F.col("a").alias("class"))
-        .union(stars.select("bucket", F.col("b").alias("class")))
-        .distinct()
-        .join(sizes, "class")
-        .join(roots.withColumnRenamed("node", "class"), "class", "left")
-        .select(
-            F.col("bucket").alias("own_bucket"), "class", "n", F.coalesce("root", "class").alias("root")
-        )
+    x, y = n[at[left]], n[at[right]]
+    overlap = -(-percent * (x + y) // (100 + percent))
+    return (place[left] <= x - overlap) & (place[right] <= y - overlap)
+
+
+def _star_pairs(first, sizes, at, place, root, n, key, percent: int) -> np.ndarray:
+    """Distinct pairs of classes: in each group, one centre with all of other components.
+
+    The centre has the greatest ``key``, equal keys going to the first.
+    """
+    group = np.repeat(np.arange(len(first)), sizes)
+    order = np.lexsort((-np.arange(len(at)), key[at], group))
+    centre = order[np.cumsum(sizes) - 1][group]
+    other = np.flatnonzero(root[at[centre]] != root[at])
+    centre = centre[other]
+    early = _early(centre, other, at, place, n, percent)
+    return _distinct([], [_codes(at[centre[early]], at[other[early]], len(n))])
+
+
+def _all_pairs(first, sizes, at, place, root, n, percent: int) -> np.ndarray:
+    """Distinct pairs of classes of different components that share an early token."""
+    seen, out, held = [], [], 0
+    for a, m in zip(first.tolist(), sizes.tolist()):
+        # By size: partners of a class that fit are the next ones in the order.
+        group = np.arange(a, a + m)
+        group = group[np.argsort(n[at[group]], kind="stable")]
+        own_n = n[at[group]]
+        reach = np.searchsorted(own_n, 100 * own_n // percent, side="right")
+        own = np.arange(m)
+        many = np.maximum(reach - own - 1, 0)
+        part = np.cumsum(many) // 1_000_000
+        for k in range(int(part[-1]) + 1):
+            of = part == k
+            left = group[np.repeat(own[of], many[of])]
+            right = group[ragged(own[of] + 1, many[of])]
+            keep = (root[at[left]] != root[at[right]]) & _early(left, right, at, place, n, percent)
+            out.append(_codes(at[left[keep]], at[right[keep]], len(n)))
+            held += len(out[-1])
+            if held > 4_000_000:
+                seen, out, held = [_distinct(seen, out)], [], 0
+    return _distinct(seen, out)
+
+
+def _codes(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
+    return np.minimum(left, right).astype(np.int64) * base + np.maximum(left, right)
+
+
+def _distinct(seen: list[np.ndarray], out: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([*seen, *out])) if seen or out else np.zeros(0, np.int64)
+
+
+def candidates(
+    met: DataFrame, roots: DataFrame | None, sizes: DataFrame, buckets: int, config, turn: int | None
+) -> DataFrame:
+    """Pairs ``a, b`` of classes of different components that share an early token.
+
+    With a ``turn``, only pairs of each token's centre with its other classes:
+    first the class with most shared tokens, the one that copies have most in
+    common with, then others by chance. Without, all pairs that fit in size.
+    """
+    members = met.filter("class is not null")
+    central = members.groupBy("class").agg(F.sum("shared").alias("central"))
+    inside = members.select("bucket", "class").join(sizes, "class").join(central, "class")
+    if roots is None:
+        inside = inside.withColumn("root", F.col("class"))
+    else:
+        inside = inside.join(roots.withColumnRenamed("node", "class"), "class", "left")
+    inside = inside.select(
+        F.col("bucket").alias("own_bucket"), "class", "n", F.coalesce("root", "class").alias("root"), "central"
     )
 
     def cross(key, groups, known):
         import pandas as pd
 
-        out: list[np.ndarray] = []
+        pairs, names = np.zeros(0, np.int64), np.zeros(1, np.int64)
         if len(groups) and len(known):
             known = known.sort_values("class")
-            names = known["class"].to_numpy()
-            n, root = known["n"].to_numpy(), known["root"].to_numpy()
-            tokens = np.concatenate([np.frombuffer(b, np.uint64) for b in groups["tokens"]])
-            classes = np.concatenate([np.frombuffer(b, np.int64) for b in groups["classes"]])
-            tokens, classes, first, sizes = _groups(tokens, classes)
+            names, n = known["class"].to_numpy(), known["n"].to_numpy()
+            root, central = known["root"].to_numpy(), known["central"].to_numpy()
+            tokens, classes, place, first, sizes = _groups(*_read(groups))
             at = np.searchsorted(names, classes)
             mixed = np.maximum.reduceat(root[at], first) != np.minimum.reduceat(root[at], first)
-            held = 0
-            for a, m in zip(first[mixed].tolist(), sizes[mixed].tolist()):
-                # By size: partners of a class that fit are the next ones in the order.
-                group = at[a : a + m]
-                group = group[np.argsort(n[group], kind="stable")]
-                reach = np.searchsorted(n[group], 100 * n[group] // config.percent, side="right")
-                own = np.arange(m)
-                many = np.maximum(reach - own - 1, 0)
-                part = np.cumsum(many) // 1_000_000
-                for k in range(int(part[-1]) + 1):
-                    of = part == k
-                    left = group[np.repeat(own[of], many[of])]
-                    right = group[ragged(own[of] + 1, many[of])]
-                    other = root[left] != root[right]
-                    out.append(np.sort(np.stack([left[other], right[other]], axis=1), axis=1))
-                    held += len(out[-1])
-                    if held > 4_000_000:
-                        out = [np.unique(np.concatenate(out), axis=0)]
-                        held = 0
-            pairs = np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), int)
-            return pd.DataFrame({"a": names[pairs[:, 0]], "b": names[pairs[:, 1]]})
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-
-    packed = met.filter("tokens is not null").select("bucket", "tokens", "classes")
+            if mixed.any():
+                rows = ragged(first[mixed], sizes[mixed])
+                at, place = at[rows], place[rows]
+                sizes = sizes[mixed]
+                first = np.cumsum(sizes) - sizes
+                if turn is None:
+                    pairs = _all_pairs(first, sizes, at, place, root, n, config.percent)
+                else:
+                    chance = (mix64(names.view(np.uint64) ^ np.uint64(turn)) >> np.uint64(1)).astype(np.int64)
+                    key_of = central if turn == 0 else chance
+                    pairs = _star_pairs(first, sizes, at, place, root, n, key_of, config.percent)
+        left, right = names[pairs // len(names)], names[pairs % len(names)]
+        return pd.DataFrame({"a": np.minimum(left, right), "b": np.maximum(left, right)})
+
+    packed = met.filter("tokens is not null").select("bucket", "tokens", "classes", "places")
     return (
         packed.repartition(buckets, "bucket")
         .groupBy("bucket")
         .cogroup(inside.repartition(buckets, "own_bucket").groupBy("own_bucket"))
         .applyInPandas(cross, "a long, b long")
         .distinct()
-        .join(stars.select("a", "b").distinct(), ["a", "b"], "left_anti")
     )
 
 
@@ -393,28 +455,48 @@ def near_groups(docs: DataFrame, key: str = "doc_id", config=JaccardConfig()) ->
         .agg(F.min(F.struct("id", "print")).alias("first"), F.max("n").alias("n"))
         .select("class", "n", F.col("first.id").alias("_id"), F.col("first.print").alias("_print"))
     )
-    met = meetings(rows.filter("bucket is not null").select("bucket", "tokens", "classes"), buckets)
-    stars = met.filter("a is not null").select("a", "b").distinct()
-    inside = stars.select(F.col("a").alias("class")).union(stars.select("b")).distinct()
-    wanted = classes.join(inside, "class").select("class", "_id", "_print")
-    found = _named(docs, key).join(
-        wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print"))
-    )
-    found = found.select("class", "text")
-    if _repeats(members):
-        found = found.groupBy("class").agg(F.first("text").alias("text"))
-    texts = written(found, "texts")
-    links = written(true_links(stars, texts, config), "links")
-    roots = components(links)
-    more = remaining_pairs(met, roots, classes.select("class", "n"), buckets, config)
-    more = written(true_links(more, texts, config), "links")
-    if not more.isEmpty():
-        roots = components(links.union(more))
+    met = meetings(rows.filter("bucket is not null").select("bucket", "tokens", "classes", "places"), buckets)
+    sizes = classes.select("class", "n")
+    repeats = _repeats(members)
+    roots = links = tested = None
+    for turn in [*range(config.turns), None]:
+        pairs = candidates(met, roots, sizes, buckets, config, turn)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = written(pairs, "pairs")
+        if roots is not None and pairs.isEmpty():
+            continue
+        texts = _class_texts(docs, key, classes, pairs, repeats)
+        new = written(true_links(pairs, texts, config), "links")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = new if links is None else links.union(new)
+        if roots is None or not new.isEmpty():
+            roots = components(links)
     return members.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         F.col("id").alias(key), "print", "n", "class", F.coalesce("root", "class").alias("root")
     )
 
 
+def _class_texts(docs: DataFrame, key: str, classes: DataFrame, pairs: DataFrame, repeats: bool):
+    """Written ``class, text`` of the classes in ``pairs``.
+
+    Where those are proven few, they are sent to the documents; else both meet by id.
+    """
+    inside = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    wanted = written(classes.join(inside, "class").select("class", "_id", "_print"), "wanted")
+    found = (
+        _named(docs, key)
+        .join(
+            broadcast_if_small(wanted),
+            F.col("id").eqNullSafe(F.col("_id")) & (F.col("print") == F.col("_print")),
+        )
+        .select("class", "text")
+    )
+    if repeats:
+        found = found.groupBy("class").agg(F.first("text").alias("text"))
+    return written(found, "texts")
+
+
 def _repeats(members: DataFrame) -> bool:
     return not members.groupBy("id", "print").count().filter("count > 1").isEmpty()
 
