@@ -30,6 +30,8 @@ CASES = {
     "<div><p>open</p><nav>menu</nav></div>": "open",
     "<ARTICLE><P>Big</P>  \n\t</ARTICLE>": "Big",
     "<article></article>": "",
+    "<div class='page with-sidebar'><article><div class='post-header'><h1>T</h1></div>x</article></div>": "T\nx",
+    "<div class='page-header'>s</div><div id='comments'><article>c</article></div><p>o</p>": "o",
 }
 
 

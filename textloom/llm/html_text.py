@@ -71,21 +71,31 @@ _NAMES = frozenset(
     "widget toolbar login search skip copyright legal paywall form replies reactions".split()
 )
 _STEMS = ("advert", "adsense", "sponsor", "promo", "banner", "comment", "sidebar", "cookie")
+_UNLESS = frozenset("has with no without free".split())
+_HELD = frozenset("header masthead".split())
 _NEVER = frozenset("html body main article".split())
 _SPACED = frozenset("br td th hr img".split())
 
 
-def _named_apart(attributes: str) -> bool:
-    """Whether class, id or role name a part that is not the article."""
+def _named_apart(attributes: str, held: bool) -> bool:
+    """Whether class, id or role name a part that is not the article.
+
+    Names that tell of something a part has or lacks don't count, and inside
+    an article (``held``) a header is the article's own.
+    """
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "").lower()
         key = key.lower()
         if key == "role" and value in _ROLES:
             return True
         if key in ("class", "id"):
-            for word in re.split(r"[\s_\-]+", value):
-                if word in _NAMES or word.startswith(_STEMS):
-                    return True
+            for name in value.split():
+                words = re.split(r"[_\-]+", name)
+                if _UNLESS.intersection(words):
+                    continue
+                for word in words:
+                    if (word in _NAMES and not (held and word in _HELD)) or word.startswith(_STEMS):
+                        return True
     return False
 
 
@@ -165,7 +175,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
             held = zone in ("article", "main")
             if name in _APART or (name == "header" and not held):
                 new = "apart"
-            elif tag[3] and name not in _NEVER and _named_apart(tag[3]):
+            elif tag[3] and name not in _NEVER and _named_apart(tag[3], held):
                 new = "apart"
             elif name == "article":
                 new = "article"
