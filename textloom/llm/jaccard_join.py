@@ -13,11 +13,11 @@ pair that fails one of them needs no comparison.
    centre: as many candidates as classes, not as pairs. The first centres are
    the classes with most shared tokens, as the original of many copies is;
    further rounds take others by chance, for what is still apart.
-3. The closer the sizes of two sets, the earlier must both have a token in
-   common: for o common tokens, among the first ``n - o + 1``. Candidates that
-   do are tested under the other orders and then exactly. Components of the
+3. The closer the sizes of two sets, the earlier must both have tokens in
+   common: with o common tokens, l of them are among the first ``n - o + l`` of
+   each. Candidates that have so many are tested under the other orders and then exactly. Components of the
    true links follow.
-4. Only where such a token joins classes of different components may a link be
+4. Only where such tokens join classes of different components may a link be
    missing. Those pairs are tested the same way. All pairs inside a component
    are left alone: they can't change the components.
 
@@ -51,11 +51,13 @@ class JaccardConfig:
     percent: int = 80
     orders: int = 3
     #: A token is common if this many documents hold it; counted per task from ``local`` on.
-    common: int = 16
+    common: int = 6
     local: int = 2
     most_common: int = 1_000_000
     #: Partners tested beside one copy of a centre's text.
     partners: int = 256
+    #: Early tokens that two sets must share, as far as they overlap by as many.
+    shared: int = 4
     #: Rounds in which each token's classes meet one centre only.
     turns: int = 1
 
@@ -81,9 +83,11 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefix(tokens: np.ndarray, seed: int, percent: int, common: np.ndarray | None = None) -> np.ndarray:
-    """Keys of the first tokens in the order of ``seed``, common tokens last."""
-    size = prefix_size(len(tokens), percent)
+def prefix(
+    tokens: np.ndarray, seed: int, percent: int, common: np.ndarray | None = None, more: int = 0
+) -> np.ndarray:
+    """Keys of the first tokens in the order of ``seed``, common tokens last; ``more`` beyond need."""
+    size = min(len(tokens), prefix_size(len(tokens), percent) + more)
     keys = mix64(tokens ^ np.uint64(seed))
     if common is not None and len(common):
         at = np.minimum(np.searchsorted(common, tokens), len(common) - 1)
@@ -203,7 +207,7 @@ def profiles(docs: DataFrame, key: str, common: np.ndarray, buckets: int, config
             for tokens, mark in zip(sets, marks.tolist()):
                 if len(tokens) and mark not in seen:
                     seen.add(mark)
-                    keys.append(prefix(tokens, _SEEDS[0], config.percent, late))
+                    keys.append(prefix(tokens, _SEEDS[0], config.percent, late, config.shared - 1))
                     owners.append(np.full(len(keys[-1]), len(classes)))
                     classes.append(mark)
                     size += len(keys[-1])
@@ -272,18 +276,61 @@ def meetings(packed: DataFrame, buckets: int) -> DataFrame:
     )
 
 
-def _early(left, right, at, place, n, percent: int) -> np.ndarray:
-    """Whether entries of one token can be the first that two alike classes share.
+def _early(left, right, at, place, n, config) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries of one token count as early for two classes, and how many must be shared.
 
-    Sets that overlap by o share a token among the first ``n - o + 1`` of each.
+    Sets that overlap by o share l tokens among the first ``n - o + l`` of each.
     """
     x, y = n[at[left]], n[at[right]]
-    overlap = -(-percent * (x + y) // (100 + percent))
-    return (place[left] <= x - overlap) & (place[right] <= y - overlap)
+    overlap = -(-config.percent * (x + y) // (100 + config.percent))
+    need = np.minimum(config.shared, overlap)
+    early = (place[left] < x - overlap + need) & (place[right] < y - overlap + need)
+    fits = overlap <= np.minimum(x, y)
+    return early & fits, need
+
+
+class _Pairs:
+    """Distinct pairs of classes with the tokens they share and must share."""
+
+    def __init__(self, base: int):
+        self.base, self.held = base, 0
+        self.codes, self.shared, self.need = [], [], []
+
+    def add(self, left: np.ndarray, right: np.ndarray, need: np.ndarray):
+        self.codes.append(np.minimum(left, right).astype(np.int64) * self.base + np.maximum(left, right))
+        self.shared.append(np.ones(len(left), np.int64))
+        self.need.append(need)
+        self.held += len(left)
+        if self.held > 4_000_000:
+            self.merge()
+            self.held = 0
+
+    def merge(self):
+        if self.codes:
+            codes, first, own = np.unique(np.concatenate(self.codes), return_index=True, return_inverse=True)
+            shared = np.bincount(own, weights=np.concatenate(self.shared), minlength=len(codes))
+            need = np.concatenate(self.need)[first]
+            self.codes, self.shared, self.need = [codes], [shared.astype(np.int64)], [need]
+
+    def frame(self, names: np.ndarray):
+        import pandas as pd
+
+        self.merge()
+        codes = self.codes[0] if self.codes else np.zeros(0, np.int64)
+        left, right = names[codes // self.base], names[codes % self.base]
+        none = np.zeros(0, np.int64)
+        return pd.DataFrame(
+            {
+                "a": np.minimum(left, right),
+                "b": np.maximum(left, right),
+                "shared": self.shared[0] if self.codes else none,
+                "need": self.need[0] if self.codes else none,
+            }
+        )
 
 
-def _star_pairs(first, sizes, at, place, root, n, key, percent: int) -> np.ndarray:
-    """Distinct pairs of classes: in each group, one centre with all of other components.
+def _star_pairs(pairs: _Pairs, first, sizes, at, place, root, n, key, config):
+    """In each group, one centre with all classes of other components.
 
     The centre has the greatest ``key``, equal keys going to the first.
     """
@@ -292,19 +339,18 @@ def _star_pairs(first, sizes, at, place, root, n, key, percent: int) -> np.ndarr
     centre = order[np.cumsum(sizes) - 1][group]
     other = np.flatnonzero(root[at[centre]] != root[at])
     centre = centre[other]
-    early = _early(centre, other, at, place, n, percent)
-    return _distinct([], [_codes(at[centre[early]], at[other[early]], len(n))])
+    early, need = _early(centre, other, at, place, n, config)
+    pairs.add(at[centre[early]], at[other[early]], need[early])
 
 
-def _all_pairs(first, sizes, at, place, root, n, percent: int) -> np.ndarray:
-    """Distinct pairs of classes of different components that share an early token."""
-    seen, out, held = [], [], 0
+def _all_pairs(pairs: _Pairs, first, sizes, at, place, root, n, config):
+    """All pairs of classes of different components, for their early tokens."""
     for a, m in zip(first.tolist(), sizes.tolist()):
         # By size: partners of a class that fit are the next ones in the order.
         group = np.arange(a, a + m)
         group = group[np.argsort(n[at[group]], kind="stable")]
         own_n = n[at[group]]
-        reach = np.searchsorted(own_n, 100 * own_n // percent, side="right")
+        reach = np.searchsorted(own_n, 100 * own_n // config.percent, side="right")
         own = np.arange(m)
         many = np.maximum(reach - own - 1, 0)
         part = np.cumsum(many) // 1_000_000
@@ -312,26 +358,15 @@ def _all_pairs(first, sizes, at, place, root, n, percent: int) -> np.ndarray:
             of = part == k
             left = group[np.repeat(own[of], many[of])]
             right = group[ragged(own[of] + 1, many[of])]
-            keep = (root[at[left]] != root[at[right]]) & _early(left, right, at, place, n, percent)
-            out.append(_codes(at[left[keep]], at[right[keep]], len(n)))
-            held += len(out[-1])
-            if held > 4_000_000:
-                seen, out, held = [_distinct(seen, out)], [], 0
-    return _distinct(seen, out)
-
-
-def _codes(left: np.ndarray, right: np.ndarray, base: int) -> np.ndarray:
-    return np.minimum(left, right).astype(np.int64) * base + np.maximum(left, right)
-
-
-def _distinct(seen: list[np.ndarray], out: list[np.ndarray]) -> np.ndarray:
-    return np.unique(np.concatenate([*seen, *out])) if seen or out else np.zeros(0, np.int64)
+            early, need = _early(left, right, at, place, n, config)
+            keep = early & (root[at[left]] != root[at[right]])
+            pairs.add(at[left[keep]], at[right[keep]], need[keep])
 
 
 def candidates(
     met: DataFrame, roots: DataFrame | None, sizes: DataFrame, buckets: int, config, turn: int | None
 ) -> DataFrame:
-    """Pairs ``a, b`` of classes of different components that share an early token.
+    """Pairs ``a, b`` of classes of different components that share enough early tokens.
 
     With a ``turn``, only pairs of each token's centre with its other classes:
     first the class with most shared tokens, the one that copies have most in
@@ -349,14 +384,12 @@ def candidates(
     )
 
     def cross(key, groups, known):
-        import pandas as pd
-
-        pairs, names = np.zeros(0, np.int64), np.zeros(1, np.int64)
+        names = np.sort(known["class"].to_numpy())
+        pairs = _Pairs(max(1, len(names)))
         if len(groups) and len(known):
             known = known.sort_values("class")
-            names, n = known["class"].to_numpy(), known["n"].to_numpy()
-            root, central = known["root"].to_numpy(), known["central"].to_numpy()
-            tokens, classes, place, first, sizes = _groups(*_read(groups))
+            n, root = known["n"].to_numpy(), known["root"].to_numpy()
+            _, classes, place, first, sizes = _groups(*_read(groups))
             at = np.searchsorted(names, classes)
             mixed = np.maximum.reduceat(root[at], first) != np.minimum.reduceat(root[at], first)
             if mixed.any():
@@ -365,21 +398,23 @@ def candidates(
                 sizes = sizes[mixed]
                 first = np.cumsum(sizes) - sizes
                 if turn is None:
-                    pairs = _all_pairs(first, sizes, at, place, root, n, config.percent)
+                    _all_pairs(pairs, first, sizes, at, place, root, n, config)
                 else:
                     chance = (mix64(names.view(np.uint64) ^ np.uint64(turn)) >> np.uint64(1)).astype(np.int64)
-                    key_of = central if turn == 0 else chance
-                    pairs = _star_pairs(first, sizes, at, place, root, n, key_of, config.percent)
-        left, right = names[pairs // len(names)], names[pairs % len(names)]
-        return pd.DataFrame({"a": np.minimum(left, right), "b": np.maximum(left, right)})
+                    key_of = known["central"].to_numpy() if turn == 0 else chance
+                    _star_pairs(pairs, first, sizes, at, place, root, n, key_of, config)
+        return pairs.frame(names)
 
     packed = met.filter("tokens is not null").select("bucket", "tokens", "classes", "places")
     return (
         packed.repartition(buckets, "bucket")
         .groupBy("bucket")
         .cogroup(inside.repartition(buckets, "own_bucket").groupBy("own_bucket"))
-        .applyInPandas(cross, "a long, b long")
-        .distinct()
+        .applyInPandas(cross, "a long, b long, shared long, need long")
+        .groupBy("a", "b")
+        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need"))
+        .filter("shared >= need")
+        .select("a", "b")
     )
 
 
