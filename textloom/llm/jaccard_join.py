@@ -57,7 +57,7 @@ class JaccardConfig:
     #: Partners tested beside one copy of a centre's text.
     partners: int = 256
     #: Early tokens that two sets must share, as far as they overlap by as many.
-    shared: int = 4
+    shared: int = 2
     #: Rounds in which each token's classes meet one centre only.
     turns: int = 1
 
