@@ -162,3 +162,40 @@ def test_empty_and_nothing_learned(spark):
     got = sorted(L.score(docs, F.lit(True)).collect())
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got] == [(3, 0, 0, 0.0, 0.0), (1, 0, 0, 0.0, 0.0)]
     assert L.score(docs.limit(0), F.lit(False)).count() == 0
+
+
+@pytest.mark.parametrize("pack", [1 << 24, 2000])
+def test_dividing_changes_no_score(spark, pack):
+    """With divided contexts, whatever the rows' order and the shards, the scores are those of plain counts."""
+    rows, config = corpus(), L.ModelConfig(pack_bytes=pack)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    want = sorted(plain(rows, config)[0], key=key)
+    before, runs = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for shards, order in (("8", 1), ("3", -1), ("19", 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", shards)
+            docs = spark.createDataFrame(rows[::order], "doc_id long, text string")
+            packs = L._packs(docs, held_out(), config)
+            hot = L.frequent_words(packs, int(shards), config)
+            often = ["w0", "\n\n"] if shards == "19" else ["w0"]
+            assert np.isin(L.hash_strings(L.pa.array(often)), hot).all()
+            runs.append(sorted((tuple(r) for r in L.score(docs, held_out(), config).collect()), key=key))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for got in runs:
+        for a, b, c in zip(got, want, runs[0], strict=True):
+            assert a[:5] == b[:5] == c[:5] and a[5] == pytest.approx(b[5])
+            assert a[5:] == pytest.approx(c[5:], rel=1e-12)
+            assert b[6] - STEP * b[2] - 1e-9 <= a[6] <= b[6] + 1e-9
+
+
+def test_frequent_words_of_all_packs(spark):
+    """A word that only later packs hold is found, and its training count is exact."""
+    rows = [(k, " ".join(f"r{k}_{j}" for j in range(20))) for k in range(1200)]
+    rows += [(5000 + k, "late " * 40) for k in range(300)]
+    config = L.ModelConfig(pack_bytes=4000)
+    packs = L._packs(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), F.col("doc_id") >= 5100, config)
+    late = L.hash_strings(L.pa.array(["late"]))
+    hot = L.frequent_words(packs, 8, config)
+    assert np.isin(late, hot).all() and (hot[1:] > hot[:-1]).all()
+    assert L.learned_counts(packs, np.sort(late)).tolist() == [4000]

@@ -16,14 +16,14 @@ the distinct words seen after h,
 Stored shares are rounded down, so the probabilities of all words add up to 1
 or a little less.
 
-Pairs go to the shard of their context. Contexts that a look at a few
-documents shows to be frequent are dealt over many shards by the second word.
-A shard then knows its part of the context: it returns a pair's share of the
-part with the part's count and distinct words, and what the part's pairs were
-discounted by goes to the words of that part, by their share of the part's
-unigram chance. So a split context has probabilities that add up as well.
+Pairs go to the shard of their context. Contexts that the counts of all packs
+show to be frequent are dealt over many shards by the second word. Their c(h)
+is counted before the exchange, and the distinct words T(h) that the shards
+find behind their parts are added up after it. So a divided context has the
+formula, the stored shares and the scores of any other, bit for bit, and
+dividing never changes a result.
 Nothing that grows with the corpus is broadcast or collected: only N, V and
-the unigram chance of each part are.
+the counts of the divided contexts, at most 16 a shard, are.
 
 Words are told apart by 64-bit hashes, so counts are exact up to clashes.
 
@@ -47,12 +47,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.common import (
-    WORD,
     chunks,
-    fresh_texts,
     hash_strings,
-    lower_ascii,
-    lower_words,
     mix64,
     texts_of,
     word_hashes,
@@ -66,7 +62,6 @@ class ModelConfig:
     discount: float = 0.75
     imagined: float = 2.0
     pack_bytes: int = 12 * 1024 * 1024
-    look_rows: int = 1000
     split: int = 64
 
 
@@ -100,26 +95,35 @@ def word_parts(words: np.ndarray, split: int) -> np.ndarray:
     return (mix64(words ^ np.uint64(0xA24BAED4963EE407)) % np.uint64(split)).astype(np.int64)
 
 
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of the texts with both marks, each token's number, and the texts' sizes."""
+    hashes, starts = word_hashes(texts)
+    n = len(texts)
+    sizes = np.diff(starts) + 1
+    ends = np.cumsum(sizes)
+    tokens = np.empty(len(hashes) + n, dtype=np.uint64)
+    last = np.zeros(len(tokens), dtype=bool)
+    last[ends - 1] = True
+    tokens[last], tokens[~last] = _FINISH, hashes
+    words, number = np.unique(tokens, return_inverse=True)
+    place = np.searchsorted(words, _BEGIN)
+    if place == len(words) or words[place] != _BEGIN:
+        words = np.insert(words, place, np.uint64(_BEGIN))
+        number = number + (number >= place)
+    return words, number, sizes
+
+
 class Layout:
     """Distinct words and pairs of a pack, in the order in which shards see them.
 
     Made alike from the same texts wherever it is made, so answers need no keys.
+    ``texts`` may be given as what ``numbered`` makes of them.
     """
 
-    def __init__(self, texts: pa.Array, shards: int, hot: np.ndarray, split: int):
-        hashes, starts = word_hashes(texts)
-        n = len(texts)
-        sizes = np.diff(starts) + 1
-        ends = np.cumsum(sizes)
-        tokens = np.empty(len(hashes) + n, dtype=np.uint64)
-        last = np.zeros(len(tokens), dtype=bool)
-        last[ends - 1] = True
-        tokens[last], tokens[~last] = _FINISH, hashes
-        words, number = np.unique(tokens, return_inverse=True)
+    def __init__(self, texts: pa.Array | tuple, shards: int, hot: np.ndarray, split: int):
+        words, number, sizes = texts if isinstance(texts, tuple) else numbered(texts)
+        n, ends = len(sizes), np.cumsum(sizes)
         place = np.searchsorted(words, _BEGIN)
-        if place == len(words) or words[place] != _BEGIN:
-            words = np.insert(words, place, np.uint64(_BEGIN))
-            number = number + (number >= place)
         before = np.empty_like(number)
         before[1:] = number[:-1]
         before[ends - sizes] = place
@@ -178,8 +182,13 @@ def _blobs(layout: Layout, learned: np.ndarray):
         )
 
 
-def _answer(pdf: pd.DataFrame, config: ModelConfig) -> pd.DataFrame:
-    """Add up the counts of one shard, build its trie, and answer every pack from it."""
+def _answer(pdf: pd.DataFrame, config: ModelConfig, hot=None) -> pd.DataFrame:
+    """Add up the counts of one shard, build its trie, and answer every pack from it.
+
+    ``hot``: sorted hashes of the divided contexts and their whole counts.
+    Without it, a divided context is answered by the counts of the part.
+    """
+    divided, whole = hot or (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     asked = [_parts(b) for b in pdf["blob"]]
     words, count = _added(np.concatenate([a[0] for a in asked]), [a[1] for a in asked])
     left = [a[2][a[4]] for a in asked]
@@ -198,6 +207,9 @@ def _answer(pdf: pd.DataFrame, config: ModelConfig) -> pd.DataFrame:
     many = np.add.reduceat(many, at) if len(at) else many
     contexts, totals = _added(first, [many])
     kinds = np.bincount(np.searchsorted(contexts, first), minlength=len(contexts))
+    place = np.searchsorted(contexts, divided)
+    mine = np.flatnonzero(np.isin(divided, contexts))
+    totals[place[mine]] = whole[mine]
     share = (many - config.discount) / totals[np.searchsorted(contexts, first)]
     trie = Trie(Trie.image(first, second, share))
     out = []
@@ -208,6 +220,9 @@ def _answer(pdf: pd.DataFrame, config: ModelConfig) -> pd.DataFrame:
         if len(contexts):
             same = contexts[own] == asking[2]
             part, kind = np.where(same, totals[own], 0), np.where(same, kinds[own], 0)
+        if len(divided):
+            at = np.minimum(np.searchsorted(divided, asking[2]), len(divided) - 1)
+            part = np.where(divided[at] == asking[2], whole[at], part)
         own_count = count[np.searchsorted(words, asking[0])]
         out.append(_dense([own_count, part, kind, trie.lookup(x, y)]))
     seen = count > 0
@@ -223,6 +238,8 @@ def _answer(pdf: pd.DataFrame, config: ModelConfig) -> pd.DataFrame:
             "tokens": [int(count.sum())] + [0] * (len(out) - 1),
             "types": [int(seen.sum())] + [0] * (len(out) - 1),
             "mass": [mass.tolist()] + [None] * (len(out) - 1),
+            "divided": [mine.tolist()] + [[]] * (len(out) - 1),
+            "kinds": [kinds[place[mine]].tolist()] + [[]] * (len(out) - 1),
         }
     )
 
@@ -234,7 +251,11 @@ def _added(names: np.ndarray, counts: list[np.ndarray]) -> tuple[np.ndarray, np.
 
 
 def _packs(docs: DataFrame, held: Column, config: ModelConfig) -> DataFrame:
-    """Written rows of many documents each: ids, held flags and compressed texts."""
+    """Written rows of many documents each: ids, held flags, distinct words and tokens.
+
+    ``seen`` holds a pack's distinct words with their counts in all and in
+    training documents, ``tokens`` the texts' sizes and each token's word.
+    """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(held, F.lit(False)).alias("held"),
@@ -244,10 +265,13 @@ def _packs(docs: DataFrame, held: Column, config: ModelConfig) -> DataFrame:
     def pack(batches):
         task, turn = TaskContext.get().partitionId(), 0
         for batch in _joined(batches, config.pack_bytes):
-            sink = pa.BufferOutputStream()
-            texts = pa.table({"text": texts_of(batch)})
-            with pa.ipc.new_stream(sink, texts.schema) as stream:
-                stream.write_table(texts)
+            words, number, sizes = numbered(texts_of(batch))
+            learned = ~batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
+            count = np.bincount(number, minlength=len(words))
+            train = np.bincount(number[np.repeat(learned, sizes)], minlength=len(words))
+            # The mark before a text counts once a text, though it is no token.
+            begin = np.searchsorted(words, _BEGIN)
+            count[begin], train[begin] = len(learned), learned.sum()
             lists = lambda k, kind, none: pa.array(
                 [batch.column(k).fill_null(none).to_pylist()], pa.list_(kind)
             )
@@ -257,13 +281,18 @@ def _packs(docs: DataFrame, held: Column, config: ModelConfig) -> DataFrame:
                     lists(0, pa.int64(), 0),
                     lists(1, pa.bool_(), False),
                     pa.array([batch.column(0).is_valid().to_pylist()]),
-                    pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)], pa.binary()),
+                    pa.array([int(count.sum())], pa.int64()),
+                    pa.array([_dense([words, count, train])], pa.binary()),
+                    pa.array([_dense([sizes, number])], pa.binary()),
                 ],
-                names=["pack", "ids", "held", "named", "texts"],
+                names=["pack", "ids", "held", "named", "size", "seen", "tokens"],
             )
             turn += 1
 
-    schema = "pack string, ids array<long>, held array<boolean>, named array<boolean>, texts binary"
+    schema = (
+        "pack string, ids array<long>, held array<boolean>, named array<boolean>, size long, "
+        "seen binary, tokens binary"
+    )
     return written(rows.mapInArrow(pack, schema), "packs")
 
 
@@ -281,25 +310,66 @@ def _joined(batches, limit: int):
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _texts(packed: bytes) -> pa.Array:
-    with pa.ipc.open_stream(zstandard.decompress(packed)) as stream:
-        return fresh_texts(stream.read_all()["text"])
+def _tokens(seen: bytes, tokens: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes, number = _parts(tokens)
+    return _parts(seen)[0], number.astype(np.int64), sizes.astype(np.int64)
+
 
+def frequent_words(packs: DataFrame, shards: int, config: ModelConfig) -> np.ndarray:
+    """Sorted hashes of the contexts to divide; they steer the dealing and no result.
 
-def frequent_words(docs: DataFrame, shards: int, config: ModelConfig) -> np.ndarray:
-    """Hashes of words that make up much of a few documents; they only steer the dealing."""
-    words = (
-        docs.limit(config.look_rows)
-        .select(F.explode(F.regexp_extract_all(lower_ascii(F.col("text")), F.lit(WORD), F.lit(0))).alias("w"))
-        .groupBy("w")
-        .count()
+    A pack names the words that are at least 1 of ``16 * shards`` of its own
+    tokens, and those whose named counts are as much of all tokens are taken:
+    every word of twice that share among them, and no more than ``16 * shards``.
+    """
+
+    def often(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                words, count, _ = _parts(blob)
+                count = count.astype(np.int64)
+                context = words != np.uint64(_FINISH)
+                named = context & (count * 16 * shards >= count.sum())
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "word": pa.array(words[named].view(np.int64)),
+                        "n": pa.array(count[named]),
+                    }
+                )
+
+    total = packs.agg(F.sum("size")).first()[0] or 0
+    taken = (
+        packs.select("seen")
+        .mapInArrow(often, "word long, n long")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") * 16 * shards >= total)
     )
-    top = words.orderBy(F.desc("count"), "w").limit(512).toArrow()
-    total = words.agg(F.sum("count")).first()[0] or 0
-    often = [
-        w for w, n in zip(top["w"].to_pylist(), top["count"].to_pylist()) if n * 8 * shards >= total
-    ]
-    return np.sort(hash_strings(pa.array(often, pa.string())))
+    return np.sort(taken.toPandas()["word"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def learned_counts(packs: DataFrame, words: np.ndarray) -> np.ndarray:
+    """How often each of the sorted ``words`` stands in training documents."""
+
+    def count(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                own, _, train = _parts(blob)
+                place = np.flatnonzero(np.isin(words, own))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "place": pa.array(place.astype(np.int64)),
+                        "n": pa.array(train[np.searchsorted(own, words[place])].astype(np.int64)),
+                    }
+                )
+
+    total = np.zeros(len(words), np.int64)
+    if len(words):
+        found = (
+            packs.select("seen").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+        ).toPandas()
+        total[found["place"].to_numpy(dtype=np.int64)] = found["n"].to_numpy(dtype=np.int64)
+    return total
 
 
 def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) -> DataFrame:
@@ -309,13 +379,15 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
     score``; the scores are log10 probabilities of whole texts.
     """
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = frequent_words(docs, shards, config)
     packs = _packs(docs, held, config)
+    hot = frequent_words(packs, shards, config)
+    whole = learned_counts(packs, hot)
 
     def emit(batches):
         for batch in batches:
             for k in range(batch.num_rows):
-                layout = Layout(_texts(batch.column(2)[k].as_py()), shards, hot, config.split)
+                tokens = _tokens(batch.column(2)[k].as_py(), batch.column(3)[k].as_py())
+                layout = Layout(tokens, shards, hot, config.split)
                 learned = ~np.array(batch.column(1)[k].as_py(), dtype=bool)
                 for s, blob in _blobs(layout, learned):
                     yield pa.RecordBatch.from_arrays(
@@ -324,31 +396,31 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
                     )
 
     answers = written(
-        packs.select("pack", "held", "texts")
+        packs.select("pack", "held", "seen", "tokens")
         .mapInArrow(emit, "pack string, shard long, blob binary")
         .groupBy("shard")
         .applyInPandas(
-            lambda pdf: _answer(pdf, config),
-            "pack string, shard long, answer binary, tokens long, types long, mass array<double>",
+            lambda pdf: _answer(pdf, config, (hot, whole)).drop(columns="mass"),
+            "pack string, shard long, answer binary, tokens long, types long, "
+            "divided array<long>, kinds array<long>",
         ),
         "answers",
     )
     totals = answers.agg(F.sum("tokens"), F.sum("types")).first()
     train_tokens, types = int(totals[0] or 0), int(totals[1] or 0)
-    masses = (
-        answers.filter("mass is not null")
-        .select(F.posexplode("mass").alias("part", "mass"))
-        .groupBy("part")
-        .agg(F.sum("mass").alias("mass"))
+    behind = (
+        answers.select(F.explode(F.arrays_zip("divided", "kinds")).alias("of"))
+        .groupBy("of.divided")
+        .agg(F.sum("of.kinds").alias("kinds"))
         .toPandas()
     )
-    chance = np.full(config.split, 1.0 / (train_tokens + types + 1))
-    chance[masses["part"]] += masses["mass"] / (train_tokens + types + 1)
+    whole_kinds = np.zeros(len(hot), np.int64)
+    whole_kinds[behind["divided"].to_numpy(dtype=np.int64)] = behind["kinds"].to_numpy(dtype=np.int64)
 
     def finish(pack, answered):
         rows = []
         for row in pack.itertuples(index=False):
-            layout = Layout(_texts(row.texts), shards, hot, config.split)
+            layout = Layout(_tokens(row.seen, row.tokens), shards, hot, config.split)
             count = np.zeros(len(layout.words), np.int64)
             part = np.zeros(len(layout.left), np.int64)
             kind = np.zeros(len(layout.left), np.int64)
@@ -357,11 +429,13 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
                 mine, pairs, _, own = layout.shard(s)
                 words, sizes, kinds, code[pairs] = _parts(answer)
                 count[mine], part[pairs], kind[pairs] = words, sizes[own], kinds[own]
+            of = layout.words[layout.left[layout.divided]]
+            kind[layout.divided] = whole_kinds[np.searchsorted(hot, of)]
             ids = pd.arrays.IntegerArray(
                 np.array(row.ids, dtype=np.int64), ~np.array(row.named, dtype=bool)
             )
             held_out = np.array(row.held, dtype=bool)
-            scores = _scored(layout, count, (part, kind, code), chance, train_tokens, types, config)
+            scores = _scored(layout, count, (part, kind, code), train_tokens, types, config)
             rows.append(pd.DataFrame({"doc_id": ids, "held_out": held_out, **scores}))
         return pd.concat(rows)
 
@@ -376,7 +450,7 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
     )
 
 
-def _scored(layout, count, pairs, part_chance, train_tokens, types, config) -> dict:
+def _scored(layout, count, pairs, train_tokens, types, config) -> dict:
     """Scores of a pack's documents from the answers of the shards."""
     part, kind, code = pairs
     n = len(layout.sizes)
@@ -385,9 +459,8 @@ def _scored(layout, count, pairs, part_chance, train_tokens, types, config) -> d
     begin = np.searchsorted(layout.words, _BEGIN)
     context = count.copy()
     context[begin] = part[layout.left == begin].max(initial=0)
-    share = np.where(layout.divided, part_chance[layout.parts[layout.right]], 1.0)
     seen = code_shares()[code] * part
-    given = (config.discount * kind / share + config.imagined) * unigram[layout.right]
+    given = (config.discount * kind + config.imagined) * unigram[layout.right]
     chance = (seen + given) / (context[layout.left] + config.imagined)
     per = lambda values: np.bincount(layout.document, weights=values, minlength=n)
     return {
