@@ -88,3 +88,15 @@ def test_suffix_array_groups_by_loop():
     tokens = draw.integers(0, 4, 60)
     order, _ = H.suffix_order(tokens, 60)
     assert [tokens[i:].tolist() for i in order] == sorted(tokens[i:].tolist() for i in range(60))
+
+
+@pytest.mark.parametrize("portion", [2000, 2])
+def test_pages_that_share_all_outside_count_each(spark, portion):
+    chrome = "the same menu advert and footer on every page of this site"
+    rows = [(k, "http://one/", f"<nav>{chrome}</nav><article>own text {k}</article>") for k in range(3)]
+    rows += [(10, "http://one/", f"<nav>{chrome}</nav><div>an open page</div>")]
+    rows += [(k, "http://two/", f"<nav>{chrome}</nav><article>two pages {k % 2}</article>") for k in range(20, 25)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in H.main_text(df, H.ExtractConfig(portion_pages=portion)).collect()}
+    assert [got[k].boilerplate_tokens for k in (0, 1, 2, 10)] == [12] * 4 and got[10].text == "an open page"
+    assert all(got[k].boilerplate_tokens == 0 for k in range(20, 25))

@@ -15,8 +15,9 @@ articles takes no part: copies and quotations repeat there and stay.
 
 Hosts are of any size, so a host's pages are dealt into portions of bounded
 number; each portion has its own suffix array, and the counts of its runs are
-added up. Equal pages go to one portion and count once, so that copies of a
-page don't remove each other.
+added up. Pages with equal tokens, the article's included, count once, so that
+copies of a page don't remove each other. Different pages with equal text
+outside their articles stand in a suffix array once, with their number as weight.
 
 Defined results: null or empty html has an empty text; a null URL is a host
 of its own; html that ends inside a tag, comment or reference is read as far
@@ -189,21 +190,22 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return found
 
 
-def parsed(page: str) -> tuple[str | None, list[str], list[str]]:
-    """The text if the markup settles it, else None; the open blocks; all blocks outside."""
+def parsed(page: str) -> tuple[str | None, list[str], list[str], str]:
+    """The text if the markup settles it, else None; the open blocks; all blocks outside; all tokens."""
     found = blocks(page)
     zones = {z for z, _ in found}
     body = next((z for z in ("article", "main") if z in zones), "open")
     kept = [t for z, t in found if z == body]
     outside = [t for z, t in found if z not in ("article", "main")]
+    tokens = " ".join(t for _, t in found)
     if body == "open":
-        return (None if kept else ""), kept, outside
-    return "\n".join(kept), [], outside
+        return (None if kept else ""), kept, outside, tokens
+    return "\n".join(kept), [], outside, tokens
 
 
 _PARSED = (
     "row string, page_id long, url string, host string, text string, open array<string>, "
-    "outside array<string>, print long"
+    "outside array<string>, print long, outside_print long"
 )
 
 
@@ -220,13 +222,14 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
     def parse(batches):
         for batch in chunks(batches, "html"):
-            text, open_, outside, prints = [], [], [], []
+            text, open_, outside, prints, outside_prints = [], [], [], [], []
             for page in batch.column(3).to_pylist():
-                settled, unsettled, apart = parsed(page)
+                settled, unsettled, apart, tokens = parsed(page)
                 text.append(settled)
                 open_.append(unsettled)
                 outside.append(apart)
-                prints.append(xxhash.xxh3_64_intdigest("\n".join(apart)) >> 1)
+                prints.append(xxhash.xxh3_64_intdigest(tokens) >> 1)
+                outside_prints.append(xxhash.xxh3_64_intdigest(" ".join(apart)) >> 1)
             lists = pa.list_(pa.string())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -238,8 +241,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                     pa.array(open_, lists),
                     pa.array(outside, lists),
                     pa.array(prints, pa.int64()),
+                    pa.array(outside_prints, pa.int64()),
                 ],
-                names=["row", "page_id", "url", "host", "text", "open", "outside", "print"],
+                names=["row", "page_id", "url", "host", "text", "open", "outside", "print", "outside_print"],
             )
 
     return written(rows.mapInArrow(parse, _PARSED), "pages")
@@ -272,8 +276,14 @@ def _token_stream(texts: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
 
 
-def portion_runs(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each run of ``depth`` tokens in the pages, and on how many pages it stands."""
+def portion_runs(
+    streams: list[np.ndarray], depth: int, weights: list[int] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each run of ``depth`` tokens in the pages, and on how many pages it stands.
+
+    A stream stands for as many pages as its weight tells, or for one.
+    """
+    weights = np.array([w for s, w in zip(streams, weights or [1] * len(streams)) if len(s) >= depth], np.int64)
     streams = [s for s in streams if len(s) >= depth]
     if not streams:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -288,7 +298,8 @@ def portion_runs(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.
     room = ends[page] - np.arange(len(tokens)) >= depth
     order = order[room[order]]
     seen = np.unique(np.stack([rank[order], page[order]], axis=1), axis=0)
-    ranks, pages = np.unique(seen[:, 0], return_counts=True)
+    ranks, at = np.unique(seen[:, 0], return_index=True)
+    pages = np.add.reduceat(weights[seen[:, 1]], at) if len(at) else np.zeros(0, np.int64)
     first = np.full(len(tokens), -1)
     first[rank[order[::-1]]] = order[::-1]
     return window_hashes(joined, depth)[first[ranks]], pages
@@ -296,18 +307,30 @@ def portion_runs(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.
 
 def repeated_runs(rows: DataFrame, config: ExtractConfig) -> DataFrame:
     """``host, gram`` of the runs on ``config.pages`` or more distinct pages of a host."""
-    distinct = rows.filter(F.size("outside") > 0).dropDuplicates(["host", "print"])
+    apart = rows.filter(F.size("outside") > 0)
+    weights = (
+        apart.select("host", "outside_print", "print")
+        .distinct()
+        .groupBy("host", "outside_print")
+        .agg(F.count("*").alias("weight"))
+    )
+    distinct = apart.select("host", "outside_print", "outside").dropDuplicates(["host", "outside_print"])
     portions = distinct.groupBy("host").agg(
         F.ceil(F.count("*") / config.portion_pages).alias("portions")
     )
-    dealt = distinct.join(portions, "host").select(
-        "host", "outside", F.pmod("print", "portions").alias("portion"), "portions"
+    dealt = (
+        distinct.join(weights, ["host", "outside_print"])
+        .join(portions, "host")
+        .select(
+            "host", "outside", "weight", F.pmod("outside_print", "portions").alias("portion"), "portions"
+        )
     )
 
     def runs(pdf):
         import pandas as pd
 
-        grams, pages = portion_runs([_token_stream(list(t)) for t in pdf["outside"]], config.run)
+        streams = [_token_stream(list(t)) for t in pdf["outside"]]
+        grams, pages = portion_runs(streams, config.run, pdf["weight"].tolist())
         if pdf["portions"].iloc[0] == 1:
             often = pages >= config.pages
             grams, pages = grams[often], pages[often]
