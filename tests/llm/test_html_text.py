@@ -100,3 +100,18 @@ def test_pages_that_share_all_outside_count_each(spark, portion):
     got = {r.page_id: r for r in H.main_text(df, H.ExtractConfig(portion_pages=portion)).collect()}
     assert [got[k].boilerplate_tokens for k in (0, 1, 2, 10)] == [12] * 4 and got[10].text == "an open page"
     assert all(got[k].boilerplate_tokens == 0 for k in range(20, 25))
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p>a<svg viewBox='0 0 1 1'/> b</p><p>c</p></article>", "a b\nc"),
+        ("<article>a<svg><title>t</title><text>drawn</text></svg> b</article>", "a b"),
+        ("<article><p>a<svg><path d='x'><p>b</p></article>", "a\nb"),
+        ("<div><noscript>no</div><article>a</article>", "a"),
+        ("<div><template><p>no</p></div><article>a</article>", "a"),
+        ("<article>a<noscript><img>no</noscript> b</article>", "a b"),
+    ],
+)
+def test_open_and_self_closed_parts_end_with_their_parent(page, text):
+    assert H.parsed(page)[0] == text

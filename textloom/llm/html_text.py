@@ -53,7 +53,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_RAW = ("script", "style", "textarea", "title", "xmp", "noscript", "template", "iframe", "svg")
+_RAW = ("script", "style", "textarea", "title", "xmp", "iframe")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I) for name in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -61,7 +61,9 @@ _BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav "
     "ol option p pre section select summary table tbody tfoot thead tr ul".split()
 )
-_APART = frozenset("nav footer aside form dialog menu button select option head".split())
+_APART = frozenset(
+    "nav footer aside form dialog menu button select option head noscript template svg".split()
+)
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu".split()
 )
@@ -171,6 +173,11 @@ def blocks(page: str) -> list[tuple[str, str]]:
                     break
                 if stack[k][0] in _BLOCK:
                     break
+        if name in _BLOCK:
+            # HTML's own blocks end a drawing, except in its islands of HTML.
+            open_ = [n for n, _ in stack]
+            if "svg" in open_ and "foreignobject" not in open_:
+                close(open_.index("svg"))
         new = zone
         if zone != "apart":
             held = zone in ("article", "main")
