@@ -115,3 +115,15 @@ def test_pages_that_share_all_outside_count_each(spark, portion):
 )
 def test_open_and_self_closed_parts_end_with_their_parent(page, text):
     assert H.parsed(page)[0] == text
+
+
+def test_text_beside_articles_is_judged(spark):
+    chrome = "read this and many more stories on our pages every single day"
+    rows, want = [], {}
+    for k in range(3):
+        rows.append((k, f"<main><h1>Headline {k}</h1><article>own {k}</article><p>{chrome}</p></main>"))
+        want[k] = f"Headline {k}\nown {k}"
+        rows.append((10 + k, f"<p>{chrome}</p><div>body{k} text</div><article>teaser</article>"))
+        want[10 + k] = f"body{k} text\nteaser"
+    df = spark.createDataFrame(rows, "page_id long, html string").selectExpr("page_id", "'http://h/' AS url", "html")
+    assert {r.page_id: r.text for r in H.main_text(df).collect()} == want

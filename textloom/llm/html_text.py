@@ -2,9 +2,10 @@
 
 A page is cut into blocks of text. What the markup says is believed: text of
 an article element belongs to the article, text of menus, footers, forms,
-adverts and the like (by element, role or class) does not. Where a page has
-no article element, the text outside such parts is open, and repetition on
-the host decides.
+adverts and the like (by element, role or class) does not. Other text of the
+main element or, without one, of the page is open beside an article and where
+there is none, and repetition on the host decides. Only a main element without
+an article is taken whole.
 
 For that, the tokens of each page outside its article, in page order, are
 concatenated over the pages of a host, a suffix array sorts all places, and
@@ -197,22 +198,27 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return found
 
 
-def parsed(page: str) -> tuple[str | None, list[str], list[str], str]:
-    """The text if the markup settles it, else None; the open blocks; all blocks outside; all tokens."""
+def parsed(page: str) -> tuple[str | None, list[str], list[bool], list[str], str]:
+    """The text if the markup settles it, else None and the blocks that may stay.
+
+    Then whether the markup alone keeps each of these; the blocks that
+    repetition is looked for in; and all tokens.
+    """
     found = blocks(page)
     zones = {z for z, _ in found}
     body = next((z for z in ("article", "main") if z in zones), "open")
-    kept = [t for z, t in found if z == body]
-    outside = [t for z, t in found if z not in ("article", "main")]
+    beside = "main" if "main" in zones else "open"
+    kept = [(t, z == "article") for z, t in found if z in (body, beside)]
+    outside = [t for z, t in found if z != "article" and (z != "main" or "article" in zones)]
     tokens = " ".join(t for _, t in found)
-    if body == "open":
-        return (None if kept else ""), kept, outside, tokens
-    return "\n".join(kept), [], outside, tokens
+    if not kept or body == "main" or all(sure for _, sure in kept):
+        return "\n".join(t for t, _ in kept), [], [], outside, tokens
+    return None, [t for t, _ in kept], [sure for _, sure in kept], outside, tokens
 
 
 _PARSED = (
     "row string, page_id long, url string, host string, text string, open array<string>, "
-    "outside array<string>, print long, outside_print long"
+    "sure array<boolean>, outside array<string>, print long, outside_print long"
 )
 
 
@@ -229,11 +235,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
     def parse(batches):
         for batch in chunks(batches, "html"):
-            text, open_, outside, prints, outside_prints = [], [], [], [], []
+            text, open_, sure, outside, prints, outside_prints = [], [], [], [], [], []
             for page in batch.column(3).to_pylist():
-                settled, unsettled, apart, tokens = parsed(page)
+                settled, unsettled, kept, apart, tokens = parsed(page)
                 text.append(settled)
                 open_.append(unsettled)
+                sure.append(kept)
                 outside.append(apart)
                 prints.append(xxhash.xxh3_64_intdigest(tokens) >> 1)
                 outside_prints.append(xxhash.xxh3_64_intdigest(" ".join(apart)) >> 1)
@@ -246,11 +253,12 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                     batch.column(2),
                     pa.array(text, pa.string()),
                     pa.array(open_, lists),
+                    pa.array(sure, pa.list_(pa.bool_())),
                     pa.array(outside, lists),
                     pa.array(prints, pa.int64()),
                     pa.array(outside_prints, pa.int64()),
                 ],
-                names=["row", "page_id", "url", "host", "text", "open", "outside", "print", "outside_print"],
+                names=["row", "page_id", "url", "host", "text", "open", "sure", "outside", "print", "outside_print"],
             )
 
     return written(rows.mapInArrow(parse, _PARSED), "pages")
@@ -353,17 +361,23 @@ def repeated_runs(rows: DataFrame, config: ExtractConfig) -> DataFrame:
     )
 
 
-def unique_text(open_blocks: list[str], outside: list[str], covered: set[int]) -> str:
-    """The open blocks without the tokens at the ``covered`` places of the outside stream."""
-    kept, place, left = [], 0, list(open_blocks)
-    for block in outside:
-        words = block.split()
-        if left and block == left[0]:
-            left.pop(0)
-            stay = [w for k, w in enumerate(words) if place + k not in covered]
-            if stay:
-                kept.append(" ".join(stay))
-        place += len(words)
+def unique_text(
+    open_blocks: list[str], sure: list[bool], outside: list[str], covered: set[int]
+) -> str:
+    """The blocks that are ``sure``, and the others without their ``covered`` places of the outside stream."""
+    kept, place, rest = [], 0, iter(outside)
+    for block, stays in zip(open_blocks, sure):
+        if stays:
+            kept.append(block)
+            continue
+        words, first = block.split(), place
+        for other in rest:
+            first, place = place, place + len(other.split())
+            if other == block:
+                break
+        left = [w for k, w in enumerate(words) if first + k not in covered]
+        if left:
+            kept.append(" ".join(left))
     return "\n".join(kept)
 
 
@@ -409,9 +423,11 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
     def keep(batches):
         for batch in batches:
             texts, outside_tokens, hidden_tokens = [], [], []
-            for text, open_, outside, starts in zip(*(batch.column(k).to_pylist() for k in range(2, 6))):
+            for text, open_, sure, outside, starts in zip(
+                *(batch.column(k).to_pylist() for k in range(2, 7))
+            ):
                 hidden = {p + k for p in starts or () for k in range(width)}
-                texts.append(unique_text(open_, outside, hidden) if text is None else text)
+                texts.append(unique_text(open_, sure, outside, hidden) if text is None else text)
                 outside_tokens.append(sum(len(b.split()) for b in outside))
                 hidden_tokens.append(len(hidden))
             yield pa.RecordBatch.from_arrays(
@@ -427,7 +443,7 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
 
     return (
         rows.join(covered, "row", "left")
-        .select("page_id", "url", "text", "open", "outside", "places")
+        .select("page_id", "url", "text", "open", "sure", "outside", "places")
         .mapInArrow(
             keep,
             "page_id long, url string, text string, outside_tokens long, boilerplate_tokens long",
