@@ -199,3 +199,10 @@ def test_frequent_words_of_all_packs(spark):
     hot = L.frequent_words(packs, 8, config)
     assert np.isin(late, hot).all() and (hot[1:] > hot[:-1]).all()
     assert L.learned_counts(packs, np.sort(late)).tolist() == [4000]
+
+
+def test_small_shares_are_rounded_down():
+    share = np.array([1e-6, 1e-8, 1e-12, 1e-18])
+    pairs = np.arange(4, dtype=np.uint64)
+    ratio = code_shares()[Trie(Trie.image(pairs, pairs, share)).lookup(pairs, pairs)] / share
+    assert ratio.max() <= 1 + 1e-9 and ratio.min() > 10**-STEP * 0.999

@@ -152,7 +152,7 @@ class Trie:
         self.pointers, at = EliasFano.view(image, at)
         self.successors, at = EliasFano.view(image, at)
         size = int(image[at : at + 8].view(np.int64)[0])
-        self.codes = image[at + 8 : at + 8 + size]
+        self.codes = image[at + 8 : at + 8 + 2 * size].view(np.uint16)
 
     @staticmethod
     def image(context: np.ndarray, word: np.ndarray, share: np.ndarray) -> np.ndarray:
@@ -162,9 +162,9 @@ class Trie:
         place = own.astype(np.int64) * len(vocabulary) + number
         order = np.argsort(place, kind="stable")
         ends = np.concatenate([[0], np.cumsum(np.bincount(own, minlength=len(contexts)))])
-        code = np.minimum(255, 1 + np.ceil(-np.log10(share[order]) / STEP - 1e-9)).astype(np.uint8)
+        code = np.minimum(1023, 1 + np.ceil(-np.log10(share[order]) / STEP - 1e-9)).astype(np.uint16)
         bits = max(1, int(len(contexts) * max(1, len(vocabulary))).bit_length())
-        pad = np.zeros(-len(code) % 8, np.uint8)
+        pad = np.zeros(-2 * len(code) % 8, np.uint8)
         raw = b"".join(
             [
                 EliasFano.image(contexts, 64),
@@ -180,7 +180,7 @@ class Trie:
 
     def lookup(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Code of each pair, 0 where the pair is unknown."""
-        codes = np.zeros(len(context), dtype=np.uint8)
+        codes = np.zeros(len(context), dtype=np.uint16)
         own, number = self.contexts.find(context), self.vocabulary.find(word)
         known = np.flatnonzero((own >= 0) & (number >= 0))
         own, number = own[known], number[known]
@@ -194,6 +194,6 @@ class Trie:
 
 def code_shares() -> np.ndarray:
     """What each code stands for; code 0 is an unknown pair."""
-    shares = 10.0 ** (-(np.arange(256) - 1) * STEP)
+    shares = 10.0 ** (-(np.arange(1024) - 1) * STEP)
     shares[0] = 0
     return shares

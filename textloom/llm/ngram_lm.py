@@ -424,7 +424,7 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
             count = np.zeros(len(layout.words), np.int64)
             part = np.zeros(len(layout.left), np.int64)
             kind = np.zeros(len(layout.left), np.int64)
-            code = np.zeros(len(layout.left), np.uint8)
+            code = np.zeros(len(layout.left), np.uint16)
             for s, answer in zip(answered["shard"], answered["answer"]):
                 mine, pairs, _, own = layout.shard(s)
                 words, sizes, kinds, code[pairs] = _parts(answer)
