@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def tables():
     con = duckdb.connect()
-    for name in "documents embeddings pages benchmark labels".split():
+    for name in "documents embeddings pages benchmark labels conversations".split():
         con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
     return con
 
@@ -37,7 +37,7 @@ def test_against_sql(spark, tables, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "source_mix", "token_files"]
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
+    conversation_repair,
     decontamination,
     html_text,
     jaccard_join,
@@ -190,3 +191,78 @@ def graded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_lm_scoring")
 def scored_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(table(spark, sf_dir, "documents"), id_remainder(7) == 2)
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of an ASCII text as DuckDB SQL: a fold over its bytes, eight shifts each."""
+    fed = f"flatten(list_transform(range(1, length({text}) + 1), lambda i: [ascii({text}[i]), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (
+        f"xor(list_reduce(list_transform({fed}, lambda x: x::BIGINT), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) "
+        f"WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, 4294967295::BIGINT), 4294967295)"
+    )
+
+
+def _steps_sql() -> str:
+    """The search's steps as SQL rows: class, fault, from, to, cost, letters, inserted lines, new role."""
+    repair = conversation_repair
+    rows = []
+    for initial in ("s", "u", "a", "-"):
+        for fault in (repair.FINE, repair.TRUNCATED, repair.DUPLICATE):
+            for a, b, cost, letters in repair.steps(initial, fault):
+                at, lines = a, []
+                for _ in range(letters.count(b"I")):
+                    lines.append(repair.DUE[at] + ":")
+                    at = repair.MOVES[at, repair.DUE[at][0]]
+                role = repair.DUE[at] if letters.endswith(b"R") else ""
+                listed = "[" + ", ".join(f"'{x}'" for x in lines) + "]::VARCHAR[]"
+                rows.append(f"('{initial}', {fault}, {a}, {b}, {cost}, '{letters.decode()}', {listed}, '{role}')")
+    return "VALUES " + ",\n ".join(rows)
+
+
+@query(
+    "op12_conversation_repair",
+    rf"""WITH RECURSIVE x AS (
+ SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32_sql("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS draw
+ FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+ CASE WHEN draw = 1 THEN '' WHEN draw = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+ FROM x, unnest(range(CASE WHEN draw = 0 THEN 0 WHEN draw = 3 THEN 2 ELSE 1 END))),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS k FROM d),
+g AS (SELECT *, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS t,
+ row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) AS nth,
+ lag(role) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM o),
+f AS (SELECT *, CASE WHEN t = '' THEN 3 WHEN nth > 1 THEN 2
+  WHEN right(t, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault,
+ CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '-' END AS initial FROM g),
+steps(initial, fault, a, b, cost, letters, lines, role) AS ({_steps_sql()}),
+v AS (
+ SELECT DISTINCT conv_id, 0::BIGINT AS k, 0 AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS lines
+ FROM conversations
+ UNION ALL
+ SELECT conv_id, k, b, cost, audit, lines FROM (
+  SELECT v.conv_id, f.k, s.b, v.cost + s.cost AS cost, v.audit || s.letters AS audit,
+   v.lines || s.lines || CASE right(s.letters, 1) WHEN 'D' THEN []::VARCHAR[]
+    WHEN 'K' THEN [f.role || ':' || f.text] ELSE [s.role || ':' || f.text] END AS lines,
+   row_number() OVER (PARTITION BY v.conv_id, s.b ORDER BY v.cost + s.cost, v.audit || s.letters) AS r
+  FROM v JOIN f ON f.conv_id IS NOT DISTINCT FROM v.conv_id AND f.k = v.k + 1
+  JOIN steps s ON s.a = v.state AND s.initial = f.initial AND s.fault = least(f.fault, 2)) WHERE r = 1),
+ends AS (SELECT conv_id, cost + [0, 4, 2, 0][state + 1] AS cost, audit || ['', 'II', 'I', ''][state + 1] AS audit,
+ lines || [[]::VARCHAR[], ['user:', 'assistant:'], ['assistant:'], []::VARCHAR[]][state + 1] AS lines,
+ row_number() OVER (PARTITION BY conv_id ORDER BY k DESC, cost + [0, 4, 2, 0][state + 1],
+  audit || ['', 'II', 'I', ''][state + 1]) AS r FROM v),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+ count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+ count(*) FILTER (fault = 1) AS truncated,
+ count(*) FILTER (k > 1 AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+ FROM f GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+ coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+ coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit,
+ sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM ends e LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM e.conv_id WHERE r = 1""",
+)
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = conversation_repair.damaged(conversations)
+    return conversation_repair.with_digests(rows, conversation_repair.plans(rows, conversations))
