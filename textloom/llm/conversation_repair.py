@@ -192,28 +192,36 @@ def _flushed(rows: Iterator[tuple[tuple, int]], schema: pa.Schema) -> Iterator[p
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*held), schema)], schema=schema)
 
 
-def ordered_facts(rows: DataFrame) -> DataFrame:
-    """Rows with nulls replaced, the text's digest and whether an earlier turn says the same.
-
-    Turns of equal role and text are found by digest, combined before the
-    shuffle; only texts that occur again are joined back. Equal rows of the
-    same turn stay neighbours in the order and are told apart there.
-    """
-    told = rows.select(
+def told(rows: DataFrame) -> DataFrame:
+    """Rows with nulls replaced, and the digest of the text that orders them within a turn."""
+    return rows.select(
         "conv_id",
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role"), F.lit(" ")).alias("role"),
         F.coalesce(F.col("text"), F.lit(" ")).alias("text"),
     ).withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+
+
+def facts_of(rows: DataFrame) -> DataFrame:
+    """Narrow facts of each row: fault by its own text, and whether an earlier turn says the same.
+
+    Turns of equal role and text are found by digest, combined before the
+    shuffle; only texts that occur again are joined back. Equal rows of the
+    same turn stay neighbours in the order and are told apart there.
+    """
+    text = F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", "     "))
+    last = F.substring(text, -1, 1)
+    mark = F.when(text == "", BLANK).when(last.isin(".", "!", "?"), FINE).otherwise(TRUNCATED)
+    facts = told(rows).select("conv_id", "turn", "role", "digest", mark.cast("int").alias("mark"))
     again = (
-        told.groupBy("conv_id", "role", "digest")
+        facts.groupBy("conv_id", "role", "digest")
         .agg(F.min(F.struct("turn")).alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
         .select(F.col("conv_id").alias("_c"), F.col("role").alias("_r"), F.col("digest").alias("_d"), "first")
     )
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("role") == F.col("_r")) & (F.col("digest") == F.col("_d"))
     later = F.col("first").isNotNull() & ~F.col("turn").eqNullSafe(F.col("first.turn"))
-    return told.join(again, same, "left").select("conv_id", "turn", "role", "text", "digest", later.alias("again"))
+    return facts.join(again, same, "left").select("conv_id", "turn", "role", "digest", "mark", later.alias("again"))
 
 
 def _sorted(rows: DataFrame, *first: str) -> DataFrame:
@@ -229,12 +237,7 @@ def plans(rows: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     conversations that get a result even when they have no rows. Returns
     ``conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit``.
     """
-    text = F.rtrim(F.translate("text", "\t\n\x0b\x0c\r", "     "))
-    last = F.substring(text, -1, 1)
-    mark = F.when(text == "", BLANK).when(last.isin(".", "!", "?"), FINE).otherwise(TRUNCATED)
-    facts = ordered_facts(rows).select(
-        "conv_id", "turn", "role", "digest", mark.cast("int").alias("mark"), "again"
-    )
+    facts = facts_of(rows)
     if expected is not None:
         facts = facts.unionByName(expected.select("conv_id").distinct(), allowMissingColumns=True)
     names = "gaps blank duplicate truncated illegal cost".split()
@@ -293,7 +296,7 @@ def repaired(rows: DataFrame, planned: DataFrame) -> DataFrame:
     The plan of a conversation comes before its rows in the sort order, so the
     task reads it, then changes the rows as they pass. ``place`` counts from 1.
     """
-    turns = ordered_facts(rows).select("conv_id", F.lit(1).alias("kind"), "turn", "role", "text", "digest")
+    turns = told(rows).select("conv_id", F.lit(1).alias("kind"), "turn", "role", "text", "digest")
     notes = planned.select("conv_id", F.lit(0).alias("kind"), F.col("audit").alias("text"))
     both = turns.unionByName(notes, allowMissingColumns=True)
     out = T.StructType(

@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from textloom.llm import (
     conversation_repair,
     decontamination,
+    exact_dedup,
     html_text,
     jaccard_join,
+    lexical_search,
     mixing,
     ngram_lm,
     quality,
@@ -30,6 +32,8 @@ END_ID = 2
 TOKENIZER = "byte_bpe_50k.json"
 TOXIC_FROM = 0.7
 KEEP_FROM = 0.5
+#: Documents named for each benchmark item.
+RANKED = 50
 
 
 def query(name: str, sql: str | None = None):
@@ -266,3 +270,43 @@ def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     rows = conversation_repair.damaged(conversations)
     return conversation_repair.with_digests(rows, conversation_repair.plans(rows, conversations))
+
+
+@query(
+    "op13_exact_dedup",
+    """WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''),
+ 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+ row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
+FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+)
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with an even crc32 count as the batch seen before, the others as new."""
+    return exact_dedup.copies(table(spark, sf_dir, "documents"), id_remainder(2) == 0)
+
+
+_TERMS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op11_lexical_search",
+    f"""WITH d AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS terms FROM documents),
+n AS (SELECT k, doc_id, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+c AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS l FROM n),
+p AS (SELECT k, term, count(*)::BIGINT AS tf FROM (SELECT k, unnest(terms) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, c),
+q AS (SELECT j, item_id, unnest(list_distinct(terms)) AS term
+ FROM (SELECT row_number() OVER () AS j, item_id, {_TERMS} AS terms FROM benchmark)),
+s AS (SELECT j, item_id, p.k, n.doc_id,
+  sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // l))))::BIGINT AS score
+ FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (k) CROSS JOIN c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50""",
+)
+def ranked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical_search.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), RANKED)
+    return found.select("item_id", "rank", "doc_id", "score")
