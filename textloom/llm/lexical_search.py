@@ -46,7 +46,7 @@ from textloom.llm.common import chunks, ragged, texts_of, written
 from textloom.operators.order import running_start
 
 #: Text and documents of one block at most; a longer text is a block of its own.
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 60_000
+BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 60_000
 #: Documents added to a block at once; places in a block have two bytes.
 MOST_ROWS = 5000
 #: Text of the queries that are searched in one go.
@@ -221,7 +221,8 @@ class _Reader:
     def __init__(self, row: dict):
         get = lambda name, kind: np.frombuffer(row[name], dtype=kind).astype(np.int64)
         self.block = row["block"]
-        self.m, self.entry_stratum = get("strata", np.int64), get("entry_strata", np.uint16)
+        raw = lambda name, kind: np.frombuffer(row[name], dtype=kind)
+        self.m, self.entry_stratum = raw("strata", np.int64), raw("entry_strata", np.uint16)
         self.stratum_docs = get("stratum_docs", np.uint32)
         self.first_tf, self.entries = get("first_tf", np.uint32), get("entries", np.uint32)
         self.entry_at = np.cumsum(self.entries) - self.entries
@@ -230,7 +231,7 @@ class _Reader:
             self.ids, self.known = get("ids", np.int64), np.frombuffer(row["known"], dtype=np.bool_)
             self.groups, self.group_docs = get("groups", np.uint16), get("group_docs", np.uint16)
             self.group_at = np.cumsum(self.groups) - self.groups
-            self.docs, self.docs_at = get("docs", np.uint16), np.cumsum(self.group_docs) - self.group_docs
+            self.docs, self.docs_at = raw("docs", np.uint16), np.cumsum(self.group_docs) - self.group_docs
             # Computed once for each tf of a term in a stratum, for all queries.
             of_group = np.repeat(self.m[self.entry_stratum], self.groups)
             self.impact = impacts(get("group_tf", np.uint32), of_group)
