@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import QA_SCHEMA
 from textloom.operators import answers as N
+from textloom.operators import question_rows as R
 from textloom.operators import windows as W
 
 ROWS = [
@@ -93,27 +94,57 @@ def test_window_shapes_equal_the_loop(spark):
         ]
         return -max(scores)[1]
 
-    cases = [(n, m, s) for n in range(0, 60, 3) for m in range(1, 20, 2) for s in (1, 2, 5, 9, 30)]
-    df = spark.createDataFrame(cases, "n int, room int, s int").withColumn("step", F.least("room", "s"))
-    counted = df.select("*", W.window_count(F.col("n"), F.col("room"), 1000).alias("any"))
-    assert all((r.any > 0) == (r.n > 0) for r in counted.collect())
-    for stride in (1, 2, 5, 9, 30):
-        part = df.filter(F.col("s") == stride).withColumn(
-            "count", W.window_count(F.col("n"), F.col("room"), stride)
-        )
-        spans = part.filter("count > 0").withColumn("k", F.explode(F.sequence(F.lit(0), F.col("count") - 1)))
-        spans = spans.withColumn("first", F.col("k") * F.col("step")).withColumn(
-            "length", F.least("room", F.col("n") - F.col("first"))
-        )
-        shape = [F.col(c) for c in ("n", "room", "step", "count")]
-        piece = F.col("first") + F.col("i")
-        flags = spans.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("length") - 1))).withColumn(
-            "best", (piece >= W.best_from(F.col("k"), *shape)) & (piece < W.best_from(F.col("k") + 1, *shape))
-        )
-        for r in flags.collect():
-            expected = spec(r.n, r.room, stride)
-            assert len(expected) == r["count"] and expected[r.k] == (r.first, r.length)
-            assert r.best == (best(expected, r.first + r.i) == r.k)
+    for n in range(0, 60, 3):
+        for room in range(1, 20, 2):
+            for stride in (1, 2, 5, 9, 30):
+                expected, step = spec(n, room, stride), min(room, stride)
+                count = R.window_count(n, room, stride)
+                assert expected == [(k * step, min(room, n - k * step)) for k in range(count)]
+                bounds = [R.best_from(k, n, room, step, count) for k in range(count + 1)]
+                for k, (first, length) in enumerate(expected):
+                    for p in range(first, first + length):
+                        assert (bounds[k] <= p < bounds[k + 1]) == (best(expected, p) == k)
+
+
+def test_first_occurrence_equals_slicing():
+    rng = random.Random(4)
+    for _ in range(2000):
+        values = [rng.randint(0, 2) for _ in range(rng.randint(0, 12))]
+        wanted = [rng.randint(0, 2) for _ in range(rng.randint(0, 4))]
+        hits = [k for k in range(len(values)) if values[k : k + len(wanted)] == wanted]
+        assert R.first_occurrence(values, wanted) == (hits[0] if hits and wanted else -1)
+
+
+@pytest.mark.parametrize("negatives", [True, False])
+def test_places_in_the_row_equal_the_question_table(spark, qa_vocab, negatives):
+    """Word places and kept questions are those of the column expressions."""
+    rng = random.Random(8)
+    words = "the man, went to (store) bought  Japanese\ta 1895-1943 \u202f smith's".split(" ")
+    rows = []
+    for c in range(60):
+        context = " ".join(rng.choice(words) for _ in range(rng.randint(0, 25)))
+        qas = []
+        for q in range(rng.randint(0, 5)):
+            at = rng.randint(0, max(len(context) - 1, 0))
+            text = context[at : at + rng.randint(1, 20)] if rng.random() < 0.8 else rng.choice(words)
+            qas.append((f"{c}-{q}", rng.choice(words), negatives and rng.random() < 0.3, [(text or "x", at)]))
+        rows.append((f"c{c}", context, qas))
+    paragraphs = spark.createDataFrame(rows, QA_SCHEMA)
+    cfg = W.WindowConfig(max_length=12, stride=4, negatives=negatives)
+    table = W.recoverable(W.questions(paragraphs, cfg))
+    want = {r.qas_id: (r.context_id, r.qa_no, r.is_impossible, r.start_word, r.end_word) for r in table.collect()}
+    found = W.question_pieces(W.encode_examples(paragraphs, cfg, qa_vocab)).collect()
+    assert {r.qas_id: (r.context_id, r.qa_no, r.is_impossible, r.start_word, r.end_word) for r in found} == want
+
+
+def test_vocabulary_beyond_the_bound(spark, paragraphs, qa_vocab, monkeypatch):
+    """The same windows whether the vocabulary is broadcast or joined."""
+    cfg = W.WindowConfig(max_length=9, stride=3, negatives=True)
+    rows = lambda: sorted(map(tuple, W.question_windows(paragraphs, qa_vocab, cfg).collect()), key=repr)
+    small = rows()
+    monkeypatch.setattr(W, "compiled", lambda *a, **k: None)
+    monkeypatch.setattr("textloom.operators.subword.compiled", lambda *a, **k: None)
+    assert rows() == small
 
 
 def _spec_project(pred, orig, tokens):

@@ -1,8 +1,10 @@
 """Greedy longest-match subword encoding of a whole corpus.
 
-The corpus is reduced to its distinct words (map-side combined), the words are
-matched against the vocabulary, and the result is joined back. Words that make
-up a large share of the corpus never travel through a shuffle: their entries
+A vocabulary of a checked size is compiled into an automaton (``pieces``) and
+broadcast, and rows are encoded where they are: nothing is shuffled. Beyond that
+size the corpus is reduced to its distinct words (map-side combined), the words
+are joined with the vocabulary, and the result is joined back. Words that make
+up a large share of the corpus never travel through a shuffle then: their entries
 are broadcast, and only the remaining words are joined by key.
 """
 
@@ -10,10 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.arrays import gather, let
+from textloom.operators.pieces import PieceAutomaton, encoder
 from textloom.session import BROADCAST_MAX_ROWS, broadcast_if_small, cut, small_enough
 
 MAX_WORD_CHARS = 200
@@ -82,14 +88,56 @@ def word_counts(docs: DataFrame, units: str) -> DataFrame:
     )
 
 
-def longest_matches(words: DataFrame, vocab: DataFrame, longest: int) -> DataFrame:
+def compiled(vocab: DataFrame, facts: VocabFacts, with_pieces: bool = False, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast ``(automaton, tokens by id or None)``, or None beyond the checked size."""
+    entries = vocab.select("token", F.col("token_id").cast("int").alias("token_id"))
+    if not small_enough(entries, max_rows):
+        return None
+    rows = entries.filter("token is not null").collect()  # within the bound just checked
+    tokens, ids = [r["token"] for r in rows], [r["token_id"] for r in rows]
+    spelled = None
+    if with_pieces:
+        named = [""] * (1 + max(ids, default=-1))
+        for t, i in zip(tokens, ids):
+            named[i] = t
+        spelled = pa.array(named, pa.string())
+    if UNK not in facts.special:
+        raise KeyError(f"vocabulary has no {UNK}")
+    automaton = PieceAutomaton(tokens, ids, facts.special[UNK], MAX_WORD_CHARS)
+    return vocab.sparkSession.sparkContext.broadcast((automaton, spelled))
+
+
+def longest_matches(words: DataFrame, vocab: DataFrame, facts: VocabFacts) -> DataFrame:
     """For each (word, start): end and id of the longest vocabulary match, packed.
 
-    ``words`` keeps its partitioning by ``word``: the vocabulary side is
-    broadcast when it is small enough, and every grouping clusters by word.
-    Other columns of ``words`` are carried along. Over-long words are looked at
-    in their first position only; they are never split.
+    ``start`` and the end, both inclusive, count from 1; ``best`` is null where
+    nothing matches. Other columns of ``words`` are carried along. Over-long
+    words are looked at in their first position only; they are never split.
     """
+    shared = compiled(vocab, facts)
+    if shared is None:
+        return _joined_matches(words, vocab, facts.longest)
+
+    def walk(batches):
+        automaton, _ = shared.value
+        for whole in batches:
+            for batch in (whole.slice(k, 20_000) for k in range(0, whole.num_rows, 20_000)):
+                texts = batch.column(batch.schema.get_field_index("word")).cast(pa.large_string())
+                places, end, found = automaton.longest(texts)
+                rows = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), places)))
+                first = np.repeat(np.cumsum(places) - places, places)
+                start = np.arange(len(end)) - first + 1
+                best = pa.array(end << 32 | found, pa.int64(), mask=end < 0)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(start.astype(np.int32)), best], [*batch.schema.names, "start", "best"]
+                )
+
+    out = T.StructType([*words.schema.fields, T.StructField("start", T.IntegerType()), T.StructField("best", T.LongType())])
+    return words.mapInArrow(walk, out)
+
+
+def _joined_matches(words: DataFrame, vocab: DataFrame, longest: int) -> DataFrame:
+    """``longest_matches`` by a join, for a vocabulary of any size."""
     size = F.length("word")
     starts = words.select(
         *words.columns,
@@ -116,15 +164,33 @@ def longest_matches(words: DataFrame, vocab: DataFrame, longest: int) -> DataFra
     )
 
 
-def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None = None) -> DataFrame:
+def _encoded_fields(with_pieces: bool) -> list[T.StructField]:
+    names = {"ids": T.IntegerType(), "piece_units": T.IntegerType()}
+    if with_pieces:
+        names["pieces"] = T.StringType()
+    return [T.StructField(n, T.ArrayType(t)) for n, t in names.items()]
+
+
+def segment_words(
+    words: DataFrame,
+    vocab: DataFrame,
+    facts: VocabFacts | None = None,
+    max_broadcast: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
     """Distinct words to ``(word, pieces array<string>, ids array<int>)``.
 
     A word with an unmatched position, or longer than 200 characters, becomes
     the single unknown piece. Other columns of ``words`` are kept.
     """
     facts = facts or vocab_facts(vocab)
+    shared = compiled(vocab, facts, True, max_broadcast)
+    if shared is not None:
+        asked = words.select("*", F.array(F.struct(F.lit(0).alias("unit"), "word")).alias("_units"))
+        out = [*words.schema.fields, *_encoded_fields(True)]
+        found = asked.mapInArrow(encoder(shared), T.StructType(out))
+        return found.select(*words.columns, "pieces", "ids")
     matched = (
-        longest_matches(words, vocab, facts.longest)
+        _joined_matches(words, vocab, facts.longest)
         .groupBy(*words.columns)
         .agg(F.sort_array(F.collect_list(F.struct("start", "best"))).alias("found"))
     )
@@ -166,14 +232,16 @@ def segment_words(words: DataFrame, vocab: DataFrame, facts: VocabFacts | None =
     )
 
 
-def word_dictionary(docs: DataFrame, units: str, vocab: DataFrame, facts=None) -> DataFrame:
+def word_dictionary(
+    docs: DataFrame, units: str, vocab: DataFrame, facts=None, max_broadcast: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
     """Distinct words of the corpus with counts, pieces and ids, written once."""
     # Few bytes but much work per word: a fixed number of partitions keeps
     # adaptive coalescing from folding this stage into a handful of tasks. The
     # written counts also spare a second corpus pass when a task is retried.
     counts = cut(word_counts(docs, units))
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut(segment_words(counts.repartition(width, "word"), vocab, facts))
+    return cut(segment_words(counts.repartition(width, "word"), vocab, facts, max_broadcast))
 
 
 def encode(
@@ -189,9 +257,20 @@ def encode(
 
     Returns ``keys`` plus ``ids array<int>`` and ``piece_units array<int>``
     (the unit each piece came from), and ``pieces array<string>`` on request.
-    ``keys`` must identify a row of ``docs``.
+    ``keys`` must identify a row of ``docs``. A vocabulary of more than
+    ``max_broadcast`` entries goes the way over a dictionary of distinct words.
     """
-    dictionary = word_dictionary(docs, units, vocab, facts)
+    facts = facts or vocab_facts(vocab)
+    shared = compiled(vocab, facts, with_pieces, max_broadcast)
+    if shared is not None:
+        rows = docs.select(*keys, units)
+        out = T.StructType([*rows.schema.fields[:-1], *_encoded_fields(with_pieces)])
+        return rows.mapInArrow(encoder(shared), out)
+    return _encode_joined(docs, keys, units, vocab, facts, with_pieces, max_broadcast)
+
+
+def _encode_joined(docs, keys, units, vocab, facts, with_pieces, max_broadcast) -> DataFrame:
+    dictionary = word_dictionary(docs, units, vocab, facts, max_broadcast)
     payload = ["ids", "pieces"] if with_pieces else ["ids"]
     entries = dictionary.select("word", "n", *payload)
     few = small_enough(entries, max_broadcast)

@@ -1,8 +1,10 @@
 """Question-answer paragraphs to overlapping fixed-width windows.
 
-A paragraph is encoded once together with all its questions; window starts,
-token maps and best-context flags are closed forms over array positions, so
-nothing after the encoding is shuffled.
+A paragraph is encoded once together with all its questions, in its row. Pieces
+before each word are prefix sums built once per paragraph; window starts and
+best-context bounds are closed forms over places. The windows are cut from the
+paragraph's arrays in the same way, so nothing after the encoding is shuffled
+but the window counts that give the ids.
 """
 
 from __future__ import annotations
@@ -11,12 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from textloom.functions import arrays as A
 from textloom.functions import text as X
+from textloom.operators import question_rows as R
 from textloom.operators.order import running_start
-from textloom.operators.sequences import fixed_width
-from textloom.operators.subword import CLS, SEP, VocabFacts, encode, vocab_facts
+from textloom.operators.pieces import encoder
+from textloom.operators.subword import CLS, SEP, VocabFacts, compiled, encode, vocab_facts
 from textloom.session import broadcast_if_small, cut
 
 FIRST_UNIQUE_ID = 1_000_000_000
@@ -124,14 +129,12 @@ def encode_examples(
     lower: bool = True,
     facts: VocabFacts | None = None,
 ) -> DataFrame:
-    """One row per kept question with piece arrays for question and context.
+    """One row per paragraph: its words, all its pieces, and what each kept question asks.
 
     Context words carry units from 0; question ``q`` carries unit -(2q+1) and
     its answer -(2q+2), so one pass encodes a paragraph with all its questions.
+    ``asked`` holds places in the paragraph's arrays, never copies of them.
     """
-    examples = questions(paragraphs, cfg, training)
-    if training:
-        examples = recoverable(examples)
     # Newlines separate context words, which makes a word its own line.
     lines = F.array_join(context_words(F.col("context")), "\n")
     per_question = F.flatten(
@@ -147,183 +150,76 @@ def encode_examples(
     )
     nothing = F.array().cast("array<struct<unit:int,word:string>>")
     units = paragraphs.select(
-        "context_id",
+        F.col("context_id"),
+        "context",
+        "qas",
         F.concat(X.unit_tokens(lines, lower), F.coalesce(per_question, nothing)).alias("units"),
     )
+    facts = facts or vocab_facts(vocab)
+    shared = compiled(vocab, facts, with_pieces=True)
+    asked = R.asked_rows(cfg, training)
+    kind = units.schema["context_id"].dataType.simpleString()
+    out = f"context_id {kind}, words array<string>, ids array<int>, piece_units array<int>, pieces array<string>, asked {R.ASKED}"
+    if shared is not None:
+        whole = encoder(shared)
+        return units.mapInArrow(lambda batches: asked(whole(batches)), out)
     encoded = encode(units, ["context_id"], "units", vocab, facts, with_pieces=True)
-    zipped = encoded.select(
-        "context_id",
-        F.arrays_zip("piece_units", "ids", "pieces").alias("parts"),
-    )
-    joined = examples.join(zipped, "context_id")
-
-    def of_unit(unit: Column) -> Column:
-        return A.let(
-            lambda parts, u: F.filter(parts, lambda p: p["piece_units"] == u), F.col("parts"), unit
-        )
-
-    query = F.slice(of_unit((-(2 * F.col("qa_no") + 1)).cast("int")), 1, cfg.max_query)
-    answer = of_unit((-(2 * F.col("qa_no") + 2)).cast("int"))
-    body = F.filter("parts", lambda p: p["piece_units"] >= 0)
-    return (
-        joined.withColumn("query", query)
-        .withColumn("answer_ids", answer["ids"])
-        .withColumn("body", body)
-        .drop("parts")
-    )
+    joined = units.drop("units").join(encoded, "context_id")
+    return joined.select("context_id", "context", "qas", "ids", "piece_units", "pieces").mapInArrow(asked, out)
 
 
-def piece_span(words: Column, start_word: Column, end_word: Column) -> tuple[Column, Column]:
-    """Word span to piece span; ``words`` is the word index of each piece.
+def question_pieces(encoded: DataFrame) -> DataFrame:
+    """One row per kept question with its own pieces and spans.
 
-    The first piece of a word is the number of pieces of earlier words.
+    They are cut in the paragraph's row, so that no row carries the paragraph.
     """
 
-    def pieces_before(word: Column) -> Column:
+    def own(values: str, at: str, n: str) -> Column:
         return A.let(
-            lambda w, n: F.size(F.filter(w, lambda x: x < n)), words, word
-        )
-
-    return pieces_before(start_word), pieces_before(end_word + 1) - 1
-
-
-def improve_span(ids: Column, start: Column, end: Column, answer: Column) -> Column:
-    """First sub-span whose pieces equal the answer's pieces, else the span itself."""
-    def search(ids, first, last, wanted):
-        width = F.size(wanted)
-        candidates = F.when(
-            (width > 0) & (last - width + 1 >= first), F.sequence(first, last - width + 1)
-        ).otherwise(F.array().cast("array<int>"))
-        hits = F.filter(candidates, lambda s: F.slice(ids, s + 1, width) == wanted)
-        return F.when(
-            F.size(hits) > 0,
-            F.struct(F.get(hits, F.lit(0)).alias("start"), (F.get(hits, F.lit(0)) + width - 1).alias("end")),
-        ).otherwise(F.struct(first.alias("start"), last.alias("end")))
-
-    return A.let(search, ids, start, end, answer)
-
-
-def window_count(n: Column, room: Column, stride: int) -> Column:
-    """Windows needed to cover ``n`` pieces; the last one reaches the end."""
-    step = F.least(room, F.lit(stride))
-    return (
-        F.when(n == 0, 0)
-        .when(n <= room, 1)
-        .otherwise(F.ceil((n - room) / step).cast("int") + 1)
-    )
-
-
-def best_from(k: Column, n: Column, room: Column, step: Column, count: Column) -> Column:
-    """First piece for which window ``k`` shows more context than window ``k - 1``.
-
-    A window scores 100 * min(left, right) + length at a piece, and the lower
-    window wins ties. Window starts and ends ascend and only the last window
-    may be short, so the lead of a window over the one before it only grows
-    along the pieces, and beating that neighbour means beating all. Window k
-    therefore holds the best context for [best_from(k), best_from(k + 1)).
-    """
-    start, before = k * step, (k - 1) * step
-    length = F.least(room, n - start)
-    end, end_before = start + length - 1, before + room - 1
-
-    def score(p: Column, first: Column, last: Column, size: Column) -> Column:
-        return F.lit(100) * F.least(p - first, last - p) + size
-
-    # Where the rising side of k meets the falling side of k - 1.
-    meet = F.floor((F.lit(100) * (start + end_before) + room - length) / 200).cast("int") + 1
-    ahead = (meet <= end_before) & (
-        score(meet, start, end, length) > score(meet, before, end_before, room)
-    )
-    return (
-        F.when(k <= 0, 0)
-        .when(k >= count, n)
-        .when(ahead, F.greatest(meet, start))
-        .otherwise(end_before + 1)
-    )
-
-
-def _room(cfg: WindowConfig) -> Column:
-    return F.lit(cfg.max_length - 3) - F.size("query")
-
-
-def _cut_windows() -> Column:
-    """All windows of a row as ``(window_no, part, words)``; body and words are bound once."""
-
-    def window_of(part: Column, k: Column, words: Column) -> Column:
-        first, last = F.get(part, F.lit(0))["piece_units"], F.element_at(part, -1)["piece_units"]
-        return F.struct(
-            k.alias("window_no"),
-            part.alias("part"),
-            F.slice(words, first + 1, last - first + 1).alias("words"),
-        )
-
-    def cut_up(body, words, n, room, step, count):
-        parts = F.transform(
-            F.sequence(F.lit(0), count - 1),
-            lambda k: F.slice(body, k * step + 1, F.least(room, n - k * step)),
+            lambda all_, asked: F.transform(asked, lambda a: F.slice(all_, a[at] + 1, a[n])), F.col(values), F.col("asked")
         )
-        return F.transform(parts, lambda part, k: window_of(part, k, words))
 
-    return A.let(
-        cut_up,
-        F.col("body"),
-        context_words(F.col("context")),
-        *[F.col(c) for c in ("n", "room", "step", "count")],
+    parts = F.arrays_zip(
+        "asked",
+        own("ids", "query_at", "query_n").alias("query_ids"),
+        own("pieces", "query_at", "query_n").alias("query_pieces"),
+        own("ids", "answer_at", "answer_n").alias("answer_ids"),
     )
+    rows = encoded.select("context_id", F.explode_outer(parts).alias("q")).filter("q is not null")
+    return rows.select("context_id", "q.asked.*", "q.query_ids", "q.query_pieces", "q.answer_ids")
 
 
 def windows(
     encoded: DataFrame, cfg: WindowConfig, facts: VocabFacts, training: bool = True
 ) -> DataFrame:
-    """Encoded questions to one row per window.
+    """Encoded paragraphs to one row per window.
 
-    With a ``first_id`` column the windows also get consecutive unique ids.
+    With ``first_ids``, the id of the first window of each question, the windows
+    also get unique ids.
     """
-    spans = encoded.withColumn("n", F.size("body")).withColumn("room", _room(cfg))
-    if training:
-        start, end = piece_span(F.col("body.piece_units"), F.col("start_word"), F.col("end_word"))
-        better = improve_span(F.col("body.ids"), start, end, F.col("answer_ids"))
-        spans = spans.withColumn("span", better)
-    spans = (
-        spans.withColumn("step", F.least("room", F.lit(cfg.stride)))
-        .withColumn("count", window_count(F.col("n"), F.col("room"), cfg.stride))
-        .filter("count > 0")
-        .withColumn("shift", F.size("query") + 2)
-        # The windows are cut inside the row; what is exploded holds its own
-        # pieces and words only, never the document. The outer form keeps the
-        # optimiser from cutting twice to see whether there are any.
-        .withColumn("window", F.explode_outer(_cut_windows()))
-        .withColumn("window_no", F.col("window.window_no"))
-        .withColumn("part", F.col("window.part"))
-        .withColumn("first", F.col("window_no") * F.col("step"))
-        .withColumn("length", F.least("room", F.col("n") - F.col("first")))
-    )
-    shape = [F.col(c) for c in ("n", "room", "step", "count")]
-    best_first = best_from(F.col("window_no"), *shape)
-    best_last = best_from(F.col("window_no") + 1, *shape) - 1
-    first_word = F.get("part.piece_units", F.lit(0))
-    numbered = "first_id" in encoded.columns
-    unique = F.col("first_id") + F.col("window_no") + FIRST_UNIQUE_ID if numbered else None
-    out = spans.select(
-        *([unique.alias("unique_id")] if numbered else []),
-        "qas_id",
-        "context_id",
-        "window_no",
-        F.col("first").alias("window_start"),
-        F.col("length").alias("window_length"),
-        A.bracketed(F.col("query.pieces"), F.col("part.pieces"), F.lit(CLS), F.lit(SEP)).alias("tokens"),
-        F.col("shift").alias("doc_offset"),
-        F.col("part.piece_units").alias("token_words"),
-        (best_first - F.col("first") + F.col("shift")).alias("best_first"),
-        (best_last - F.col("first") + F.col("shift")).alias("best_last"),
-        F.col("query.ids").alias("a"),
-        F.col("part.ids").alias("b"),
-        first_word.alias("first_word"),
-        F.col("window.words").alias("words"),
-        "is_impossible",
-        *(_window_labels() if training else []),
-    )
-    return fixed_width(out, "a", "b", cfg.max_length, facts).drop("a", "b")
+    numbered = "first_ids" in encoded.columns
+    kind = encoded.schema["context_id"].dataType
+    scalars = [
+        ("qas_id", T.StringType()),
+        ("context_id", kind),
+        *[(c, T.IntegerType()) for c in ("window_no", "window_start", "window_length", "doc_offset")],
+        *[(c, T.IntegerType()) for c in ("best_first", "best_last", "first_word")],
+        ("is_impossible", T.BooleanType()),
+    ]
+    scalars += [("unique_id", T.LongType())] if numbered else []
+    scalars += [(c, T.IntegerType()) for c in ("start_position", "end_position")] if training else []
+    text, whole = T.ArrayType(T.StringType()), T.ArrayType(T.IntegerType())
+    lists = {"tokens": text, "token_words": whole, "words": text, "input_ids": whole, "input_mask": whole, "segment_ids": whole}
+    out = T.StructType([T.StructField(n, t) for n, t in scalars])
+    for name, of in lists.items():
+        out = out.add(name, of)
+    for special in (CLS, SEP):
+        facts.id(special)
+    cut_up = R.cut_windows(
+        cfg, facts.special[CLS], facts.special[SEP], CLS, SEP, numbered, training,
+        [n for n, _ in scalars], [to_arrow_type(t) for _, t in scalars],
+    )
+    return encoded.mapInArrow(cut_up, out)
 
 
 def with_token_maps(rows: DataFrame) -> DataFrame:
@@ -345,21 +241,6 @@ def with_token_maps(rows: DataFrame) -> DataFrame:
     )
 
 
-def _window_labels() -> list[Column]:
-    """Answer positions inside the window, (0, 0) when absent or impossible."""
-    inside = (
-        ~F.col("is_impossible")
-        & (F.col("span.start") >= F.col("first"))
-        & (F.col("span.end") <= F.col("first") + F.col("length") - 1)
-    )
-
-    def placed(c: str) -> Column:
-        shifted = F.col(c) - F.col("first") + F.col("shift")
-        return F.when(inside, shifted).otherwise(0).cast("int")
-
-    return [placed("span.start").alias("start_position"), placed("span.end").alias("end_position")]
-
-
 def question_windows(
     paragraphs: DataFrame,
     vocab: DataFrame,
@@ -369,17 +250,15 @@ def question_windows(
 ) -> DataFrame:
     """Paragraphs with questions to the final window feature table."""
     facts = vocab_facts(vocab)
-    encoded = encode_examples(paragraphs, cfg, vocab, training, lower, facts)
-    encoded = cut(encoded)
+    encoded = cut(encode_examples(paragraphs, cfg, vocab, training, lower, facts))
     # Ids are consecutive over (question, window): only window counts are
     # ranked, the token arrays never take part in the ordering.
-    counts = encoded.select(
-        "qas_id",
-        "context_id",
-        "qa_no",
-        window_count(F.size("body"), _room(cfg), cfg.stride).cast("long").alias("n_windows"),
+    counts = encoded.select("context_id", F.explode("asked").alias("q")).select(
+        "context_id", "q.qas_id", "q.qa_no", F.col("q.windows").cast("long").alias("n_windows")
+    )
+    starts = running_start(counts, ["qas_id", "context_id", "qa_no"], "n_windows", "first_id")
+    numbered = starts.groupBy("context_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("qa_no", F.col("first_id") + FIRST_UNIQUE_ID))).alias("first_ids")
     )
-    place = ["context_id", "qa_no"]
-    starts = running_start(counts, ["qas_id", *place], "n_windows", "first_id")
-    starts = cut(starts.select(*place, "first_id"))
-    return windows(encoded.join(broadcast_if_small(starts), place), cfg, facts, training)
+    joined = encoded.join(broadcast_if_small(cut(numbered)), "context_id")
+    return windows(joined, cfg, facts, training)

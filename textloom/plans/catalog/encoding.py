@@ -40,7 +40,7 @@ def word_pieces(spark, sf):
 def longest(spark, sf):
     vocab = vocabulary(spark, sf)
     counts = W.word_counts(_units(spark, sf), "units")
-    found = W.longest_matches(counts.select("word"), vocab, W.vocab_facts(vocab).longest)
+    found = W.longest_matches(counts.select("word"), vocab, W.vocab_facts(vocab))
     return found.filter("best is not null").select(
         "word", "start", F.shiftright("best", 32).alias("end")
     )

@@ -167,26 +167,21 @@ def violations(spark, sf):
 
 @query("qa4_query_pieces", BASE + " SELECT qas_id, len(qi)::BIGINT AS n, array_to_string(qi, ' ') AS ids FROM joined")
 def query_pieces(spark, sf):
-    return _encoded(spark, sf).select(
-        "qas_id", F.size("query").alias("n"), F.col("query.ids").alias("ids")
+    return W.question_pieces(_encoded(spark, sf)).select(
+        "qas_id", F.size("query_ids").alias("n"), F.col("query_ids").alias("ids")
     )
 
 
 @query("qa5_piece_spans", BASE + " SELECT qas_id, ps::BIGINT AS first, pe::BIGINT AS last FROM spans WHERE q = 0")
 def piece_spans(spark, sf):
-    rows = _encoded(spark, sf).filter("not is_impossible")
-    start, end = W.piece_span(F.col("body.piece_units"), F.col("start_word"), F.col("end_word"))
-    return rows.select("qas_id", start.alias("first"), end.alias("last"))
+    rows = W.question_pieces(_encoded(spark, sf)).filter("not is_impossible")
+    return rows.select("qas_id", "first", "last")
 
 
 @query("qa6_improved_spans", BASE + " SELECT qas_id, bs::BIGINT AS first, be::BIGINT AS last FROM shapes WHERE q = 0")
 def improved_spans(spark, sf):
-    rows = _encoded(spark, sf).filter("not is_impossible")
-    start, end = W.piece_span(F.col("body.piece_units"), F.col("start_word"), F.col("end_word"))
-    span = W.improve_span(F.col("body.ids"), start, end, F.col("answer_ids"))
-    return rows.withColumn("span", span).select(
-        "qas_id", F.col("span.start").alias("first"), F.col("span.end").alias("last")
-    )
+    rows = W.question_pieces(_encoded(spark, sf)).filter("not is_impossible")
+    return rows.select("qas_id", F.col("better_first").alias("first"), F.col("better_last").alias("last"))
 
 
 def built(spark, sf):
