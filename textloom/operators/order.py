@@ -12,12 +12,9 @@ _LOCAL = (1 << 33) - 1
 
 
 def _ranged(df: DataFrame, order: list) -> DataFrame:
-    """Rows written in ``order`` with their partition and place in it."""
-    written = cut(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
+    """Rows written in ``order`` with their partition and place in it; as they lie without one."""
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    written = cut(ordered.withColumn("_mid", F.monotonically_increasing_id()))
     return written.withColumn("_part", F.shiftright("_mid", 33))
 
 
@@ -34,6 +31,7 @@ def dense_index(df: DataFrame, order: list, name: str = "row_no") -> DataFrame:
     Rows are range partitioned and sorted, then written once so that the
     partition boundaries are fixed; each partition's offset is the number of
     rows before it. Only one count per partition is ever ranked centrally.
+    Without an ``order`` rows are numbered as they lie.
     """
     ranged = _ranged(df, order)
     offsets = _offsets(ranged, F.count("*"))

@@ -163,7 +163,7 @@ def best_indexes(spark, sf):
     + " SELECT qas_id, k AS window_no, sp AS start_index, ep AS end_index, sr AS start_rank, er AS end_rank FROM cand",
 )
 def candidates(spark, sf):
-    return N.candidates(scored(spark, sf), PLAIN).select(
+    return N.candidate_pairs(scored(spark, sf), PLAIN).select(
         "qas_id", "window_no", "start_index", "end_index", "start_rank", "end_rank"
     )
 
@@ -184,7 +184,7 @@ def candidate_words(spark, sf):
     BASE + "," + CANDIDATES + " SELECT qas_id, count(*) AS pairs, round(max(s + e), 6) AS best FROM cand GROUP BY 1",
 )
 def pair_counts(spark, sf):
-    return N.candidates(scored(spark, sf), PLAIN).groupBy("qas_id").agg(
+    return N.candidate_pairs(scored(spark, sf), PLAIN).groupBy("qas_id").agg(
         F.count("*").alias("pairs"), F.max(F.col("start_logit") + F.col("end_logit")).alias("best")
     )
 
