@@ -60,9 +60,10 @@ _BYTES = np.array(
 )
 _BYTES[ord("A") : ord("Z") + 1] += 32
 
-HEAD = "block long, strata binary, stratum_docs binary, terms binary, holders binary, entries binary, entry_strata binary, first_tf binary"
-TAIL = "ids binary, known binary, groups binary, group_tf binary, group_docs binary, docs binary"
-INDEX_SCHEMA = f"{HEAD}, {TAIL}"
+#: Parts of a block: what bounds and counts need, and the postings.
+HEAD = "strata stratum_docs terms holders entries entry_strata first_tf".split()
+TAIL = "ids known groups group_tf group_docs docs".split()
+INDEX_SCHEMA = "block long, head binary, tail binary"
 HIT_SCHEMA = "query_no long, doc_id long, score long"
 
 
@@ -127,6 +128,23 @@ def corpus_size(docs: DataFrame) -> CorpusSize:
     return CorpusSize(row["d"], row["t"])
 
 
+def _packed(parts: list[bytes]) -> bytes:
+    """Parts as one compressed value, so that Spark handles a fraction of the bytes."""
+    import zstandard
+
+    sizes = np.array([len(parts), *map(len, parts)], dtype="<u8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(sizes + b"".join(parts))
+
+
+def _unpacked(value: bytes) -> list[memoryview]:
+    import zstandard
+
+    raw = memoryview(zstandard.ZstdDecompressor().decompress(value))
+    n = int(np.frombuffer(raw, "<u8", 1)[0])
+    ends = 8 + 8 * n + np.cumsum(np.frombuffer(raw, "<u8", n, 8)).astype(np.int64)
+    return [raw[a:b] for a, b in zip([8 + 8 * n, *ends], ends)]
+
+
 def _block(ids: pa.Array, m: np.ndarray, texts: pa.Array) -> dict:
     """Index of some documents in the order of their normalisers."""
     words, starts = _tokens(texts)
@@ -184,8 +202,8 @@ def build_index(docs: DataFrame, size: CorpusSize) -> DataFrame:
             )
             row = _block(ids, m.to_numpy(zero_copy_only=False), text)
             number += 1
-            arrays = [pa.array([number - 1], pa.int64()), *[pa.array([v], pa.binary()) for v in row.values()]]
-            return pa.RecordBatch.from_arrays(arrays, ["block", *row])
+            packed = [pa.array([_packed([row[c] for c in part])], pa.binary()) for part in (HEAD, TAIL)]
+            return pa.RecordBatch.from_arrays([pa.array([number - 1], pa.int64()), *packed], ["block", "head", "tail"])
 
         for batch in (b.slice(k, MOST_ROWS) for b in chunks(batches, "text", BLOCK_BYTES // 4) for k in range(0, b.num_rows, MOST_ROWS)):
             texts = texts_of(batch)
@@ -316,7 +334,7 @@ class Portion:
 
     def in_block(self, row: dict) -> np.ndarray:
         """Place of each of the portion's terms in a block, or -1."""
-        block = pa.array(row["terms"].decode().split(" "), pa.large_string())
+        block = pa.array(bytes(row["terms"]).decode().split(" "), pa.large_string())
         return pc.fill_null(pc.index_in(self.terms, value_set=block), -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
     def asked(self, row: dict):
@@ -330,9 +348,15 @@ class Portion:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Parts of one block after another."""
     for batch in batches:
+        names = batch.schema.names
         for k in range(batch.num_rows):
-            yield batch.slice(k, 1).to_pylist()[0]
+            row = {"block": batch.column(0)[k].as_py()}
+            for name, parts in (("head", HEAD), ("tail", TAIL)):
+                if name in names:
+                    row |= zip(parts, _unpacked(batch.column(names.index(name))[k].as_buffer()))
+            yield row
 
 
 def _holders(index: DataFrame, portion: Portion) -> np.ndarray:
@@ -349,15 +373,13 @@ def _holders(index: DataFrame, portion: Portion) -> np.ndarray:
 
     out = np.zeros(len(portion.terms), dtype=np.int64)
     # At most one number per term of the portion.
-    for row in index.select("terms", "holders").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for row in index.select("block", "head").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         out[row["term"]] = row["df"]
     return out
 
 
 def _first_blocks(index: DataFrame, portion: Portion) -> DataFrame:
     """``query, block``: for each query the blocks whose strata promise most."""
-    heads = [c.split()[0] for c in HEAD.split(", ")]
-
     def bound(batches):
         held: dict[int, list] = {}
         for row in _rows(batches):
@@ -369,7 +391,7 @@ def _first_blocks(index: DataFrame, portion: Portion) -> DataFrame:
         names = ["query", "block", "bound"]
         yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in flat], pa.int64()) for c in range(3)], names)
 
-    rows = index.select(*heads).mapInArrow(bound, "query long, block long, bound long")
+    rows = index.select("block", "head").mapInArrow(bound, "query long, block long, bound long")
     order = Window.partitionBy("query").orderBy(F.desc("bound"), "block")
     return rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= FIRST_BLOCKS).select("query", "block")
 
