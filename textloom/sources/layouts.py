@@ -18,7 +18,6 @@ from textloom.sources.readers import (
     read_lines,
     read_records,
 )
-from textloom.session import cut
 
 
 @dataclass(frozen=True)
@@ -104,13 +103,8 @@ def read_record_examples(spark: SparkSession, path: str, split: str) -> DataFram
 
     Numbered from 0 in file order, whatever the splits.
     """
-    places = {
-        "file": F.col("_metadata.file_path"),
-        "block": F.col("_metadata.file_block_start"),
-        "mid": F.monotonically_increasing_id(),
-    }
-    placed = cut(read_records(spark, path, places))
-    numbered = dense_index(placed, ["file", "block", "mid"], "row_no")
+    placed = read_records(spark, path, numbered=True)
+    numbered = dense_index(placed, ["file", "element_no"], "row_no")
     return numbered.select(
         guid(split, F.col("row_no")).alias("guid"),
         F.col("inputs").alias("text_a"),
