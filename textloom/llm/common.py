@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -50,6 +51,31 @@ def worker_state(key: str, build):
     return kept.__dict__[key]
 
 
+def give_back() -> None:
+    """Return freed memory of this process to the system.
+
+    Python workers outlive their tasks; without this, each keeps the most
+    that any task of it ever used.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(fn):
+    """A generator function for ``mapInArrow`` that gives memory back at the end of its task."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES):
     """Cut record batches so that each holds about ``limit`` bytes of ``text``.
 

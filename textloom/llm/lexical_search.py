@@ -5,7 +5,8 @@ characters, with ``A``-``Z`` in lower case. N documents have a term, L terms in
 all; a document of n terms has the normaliser m = 50 + (50 n N) div L, and a
 term with tf occurrences adds its weight times (10^9 tf) div (1000 tf + 20 m).
 
-Index: documents are dealt by m, and those of equal m form a stratum. A block
+Index: documents are dealt by m, in ranges of equal bytes that the counts of all
+lengths give, and those of equal m form a stratum. A block
 of the index holds a run of strata; within a stratum the postings of a term lie by
 falling tf, so a term's impact there is computed once for each tf, and its first
 tf bounds it. A block row has the strata and the largest tf in one part and the
@@ -38,15 +39,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textloom.llm.common import chunks, ragged, texts_of, written
+from textloom.llm.common import chunks, ragged, texts_of, tidy, written
 from textloom.operators.order import running_start
+from textloom.session import broadcast_if_small
 
 #: Text and documents of one block at most; a longer text is a block of its own.
 BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 60_000
+#: Text of one partition of the index, about.
+PARTITION_BYTES = 16 << 20
 #: Documents added to a block at once; places in a block have two bytes.
 MOST_ROWS = 5000
 #: Text of the queries that are searched in one go.
@@ -120,12 +124,36 @@ def lengths(docs: DataFrame) -> DataFrame:
             yield out.filter(pa.array(n > 0))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(count, f"doc_id long, text {docs.schema['text'].dataType.simpleString()}, n long")
+    return rows.mapInArrow(tidy(count), f"doc_id long, text {docs.schema['text'].dataType.simpleString()}, n long")
 
 
-def corpus_size(docs: DataFrame) -> CorpusSize:
-    row = lengths(docs).select("n").agg(F.count("*").alias("d"), F.coalesce(F.sum("n"), F.lit(0)).alias("t")).first()
-    return CorpusSize(row["d"], row["t"])
+def length_counts(docs: DataFrame) -> DataFrame:
+    """``n, docs, bytes`` for each number of terms that occurs, written."""
+    return written(
+        lengths(docs).groupBy("n").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes")), "lengths"
+    )
+
+
+def corpus_size(counts: DataFrame) -> CorpusSize:
+    row = counts.agg(F.sum("docs").alias("d"), F.sum(F.col("n") * F.col("docs")).alias("t")).first()
+    return CorpusSize(row["d"] or 0, row["t"] or 0)
+
+
+def _deal(counts: DataFrame, size: CorpusSize) -> tuple[DataFrame, int]:
+    """``m, first, parts``: partitions of each stratum, so that all hold about the same bytes.
+
+    Strata follow one another; one of more bytes than a partition takes several.
+    """
+    strata = counts.groupBy(_normaliser(size).alias("m")).agg(F.sum("bytes").alias("bytes"))
+    before = F.sum("bytes").over(Window.orderBy("m").rowsBetween(Window.unboundedPreceding, -1))  # a row per normaliser
+    first = F.floor(F.coalesce(before, F.lit(0)) / PARTITION_BYTES).cast("int")
+    dealt = strata.select("m", first.alias("first"), F.ceil(F.col("bytes") / PARTITION_BYTES).cast("int").alias("parts"))
+    total = counts.agg(F.sum("bytes")).first()[0]
+    return dealt, int(total // PARTITION_BYTES) + 2
+
+
+def _normaliser(size: CorpusSize) -> Column:
+    return F.expr(f"50 + (50 * n * {size.documents}L) div {size.terms}L")
 
 
 def _packed(parts: list[bytes]) -> bytes:
@@ -182,12 +210,12 @@ def _block(ids: pa.Array, m: np.ndarray, texts: pa.Array) -> dict:
     }
 
 
-def build_index(docs: DataFrame, size: CorpusSize) -> DataFrame:
+def build_index(docs: DataFrame, counts: DataFrame, size: CorpusSize) -> DataFrame:
     """The index of all documents as a written table, a row per block."""
     if not size.terms:
         return docs.sparkSession.createDataFrame([], INDEX_SCHEMA)
-    m = F.expr(f"50 + (50 * n * {size.documents}L) div {size.terms}L")
-    rows = lengths(docs).select(m.alias("m"), "doc_id", "text", F.monotonically_increasing_id().alias("place"))
+    rows = lengths(docs).select(_normaliser(size).alias("m"), "doc_id", "text", F.monotonically_increasing_id().alias("place"))
+    deal, partitions = _deal(counts, size)
 
     def build(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
@@ -216,10 +244,10 @@ def build_index(docs: DataFrame, size: CorpusSize) -> DataFrame:
         if held:
             yield block()
 
-    # The place makes rows of equal length and id divisible as well.
-    order = ["m", "doc_id", "place"]
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("m", "doc_id", "text")
-    return written(dealt.mapInArrow(build, INDEX_SCHEMA), "lexical_index")
+    spread = F.pmod(F.xxhash64("place"), F.col("parts")).cast("int")
+    dealt = rows.join(broadcast_if_small(deal), "m").withColumn("part", F.least(F.col("first") + spread, F.lit(partitions - 1)))
+    ordered = dealt.repartitionById(partitions, "part").sortWithinPartitions("m", "doc_id", "place")
+    return written(ordered.select("m", "doc_id", "text").mapInArrow(tidy(build), INDEX_SCHEMA), "lexical_index")
 
 
 def query_terms(texts: list[str | None]) -> list[list[str]]:
@@ -373,7 +401,7 @@ def _holders(index: DataFrame, portion: Portion) -> np.ndarray:
 
     out = np.zeros(len(portion.terms), dtype=np.int64)
     # At most one number per term of the portion.
-    for row in index.select("block", "head").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
+    for row in index.select("block", "head").mapInArrow(tidy(count), "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).collect():
         out[row["term"]] = row["df"]
     return out
 
@@ -391,7 +419,7 @@ def _first_blocks(index: DataFrame, portion: Portion) -> DataFrame:
         names = ["query", "block", "bound"]
         yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in flat], pa.int64()) for c in range(3)], names)
 
-    rows = index.select("block", "head").mapInArrow(bound, "query long, block long, bound long")
+    rows = index.select("block", "head").mapInArrow(tidy(bound), "query long, block long, bound long")
     order = Window.partitionBy("query").orderBy(F.desc("bound"), "block")
     return rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= FIRST_BLOCKS).select("query", "block")
 
@@ -416,7 +444,7 @@ def _hits(index: DataFrame, portion: Portion, k: int, least: np.ndarray, only: d
 
     if only is not None:
         index = index.filter(F.col("block").isin(sorted({b for x in only.values() for b in x})))
-    return index.mapInArrow(search, HIT_SCHEMA)
+    return index.mapInArrow(tidy(search), HIT_SCHEMA)
 
 
 def _ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -446,8 +474,9 @@ def top_documents(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
     ``items (item_id, text)`` are cut into portions by the running size of
     their texts, and the driver holds the terms of one portion at a time.
     """
-    size = corpus_size(docs)
-    index = build_index(docs, size)
+    counts = length_counts(docs)
+    size = corpus_size(counts)
+    index = build_index(docs, counts, size)
     asked = items.select("item_id", "text").withColumn("chars", 64 + F.coalesce(F.octet_length("text"), F.lit(0)))
     placed = written(running_start(asked, ["item_id", "text"], "chars", "query_no"), "queries")
     portions = placed.select((F.col("query_no") / PORTION_BYTES).cast("long").alias("portion")).distinct()
