@@ -21,8 +21,18 @@ def has_text(df: DataFrame, text: str = "text") -> DataFrame:
     return df.filter(~F.col(text).eqNullSafe(F.lit("")))
 
 
-def explode_labels(df: DataFrame, tags: list[str], keys: list[str], text: str = "text") -> DataFrame:
-    """One row per (tag column, row, label): ``keys, tag, label_no, label, text``.
+def drop_missing(df: DataFrame, tag: str, text: str = "text") -> DataFrame:
+    """Rows that have both the tag and a text."""
+    return df.dropna(subset=[tag, text])
+
+
+def keep_labels(df: DataFrame, label: str, listed: list) -> DataFrame:
+    """Rows whose label is one of ``listed``."""
+    return df.filter(F.col(label).isin(*listed))
+
+
+def raw_labels(df: DataFrame, tags: list[str], keys: list[str], text: str = "text") -> DataFrame:
+    """One row per (tag column, row, label) as it stands, beside the row's text.
 
     All tag columns are handled in one pass; rows without the tag or without
     text are dropped. An array text is represented by its first element.
@@ -34,10 +44,14 @@ def explode_labels(df: DataFrame, tags: list[str], keys: list[str], text: str =
         .select(*keys, body.alias("text"), F.explode(tagged).alias("t"))
         .select(*keys, "text", F.col("t.tag").alias("tag"), F.posexplode("t.labels").alias("label_no", "label"))
         .filter("label is not null")
-        .withColumn("label", X.label_name(F.col("label")))
     )
 
 
+def explode_labels(df: DataFrame, tags: list[str], keys: list[str], text: str = "text") -> DataFrame:
+    """One row per (tag column, row, label) with the label's name: ``keys, tag, label_no, label, text``."""
+    return raw_labels(df, tags, keys, text).withColumn("label", X.label_name(F.col("label")))
+
+
 def label_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("tag", "label").agg(F.count("*").alias("n"))
 
@@ -118,9 +132,9 @@ def hashed_split(rows: DataFrame, keys: list[str], train_share: float, seed: str
     )
 
 
-def shuffled(rows: DataFrame, keys: list[str], seed: str = "12345") -> DataFrame:
-    """Rows in hashed order (range partitioned, no central sort)."""
-    return rows.orderBy(draw_hex(seed + "/shuffle", *keys), *keys)
+def shuffled(rows: DataFrame, keys: list[str], seed: str = "12345", name: str = "place") -> DataFrame:
+    """Rows numbered in hashed order (range partitioned, no central sort)."""
+    return dense_index(rows, [draw_hex(seed + "/shuffle", *keys), *keys], name)
 
 
 def hash_ranked(rows: DataFrame, label: str, keys: list[str], seed: str) -> DataFrame:

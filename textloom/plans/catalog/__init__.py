@@ -4,6 +4,7 @@ from textloom.plans.catalog import (  # noqa: F401
     answers,
     datasets,
     encoding,
+    files,
     normalise,
     pretraining,
     scored,

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from textloom.functions import text as X
-from textloom.functions.draws import draw_hex
 from textloom.operators import labels as L
 from textloom.operators.order import dense_index
 from textloom.operators.sequences import attach_label_ids, unknown_labels
@@ -192,8 +191,8 @@ def first_sentences(spark, sf):
     f"SELECT doc_id, len({Q.words('text')})::BIGINT AS n FROM documents WHERE len({Q.words('text')}) < 512",
 )
 def token_limit(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.size(X.words_of(F.col("text"))).alias("n"))
-    return rows.filter("n < 512")
+    rows = table(spark, sf, "documents").select("doc_id", X.words_of(F.col("text")).alias("words"))
+    return D.shorter_than(rows, "words", 512).select("doc_id", F.size("words").alias("n"))
 
 
 _SHUFFLE = Q.digest("12345/shuffle", "doc_id")
@@ -205,7 +204,7 @@ _SHUFFLE = Q.digest("12345/shuffle", "doc_id")
 )
 def shuffled_order(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id")
-    return dense_index(docs, [draw_hex("12345/shuffle", "doc_id"), F.col("doc_id")], "place")
+    return L.shuffled(docs, ["doc_id"])
 
 
 _BALANCE = Q.digest("12345/balance", "doc_id")

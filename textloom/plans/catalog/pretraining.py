@@ -12,14 +12,19 @@ from textloom.plans import oracle_parts as Q
 from textloom.plans.catalog.registry import query, shared, table, vocabulary
 
 CFG = P.PairConfig(dupe_factor=2)
+#: Row sets of two lengths made from one encoding.
+LENGTHS = (P.PairConfig(dupe_factor=2, max_length=64, max_predictions=10), P.PairConfig(dupe_factor=2, max_length=192, max_predictions=30))
 S = CFG.seed
-FULL = CFG.max_length - 3
 
 _TARGET = Q.digest(S + "/target", "doc_id", "copy")
 _CHUNK = Q.digest(S + "/chunk", "w.doc_id", "w.copy", "(w.chunk + 1)")
 SHORT = int(CFG.short_prob * 2**32)
 
-SEGMENTS = """
+
+
+def segments_sql(cfg: P.PairConfig) -> str:
+    full = cfg.max_length - 3
+    return f"""
 segs AS (
   SELECT doc_id, unit, count(*) AS n FROM enc GROUP BY 1, 2),
 ends AS (
@@ -29,10 +34,11 @@ corpus AS MATERIALIZED (
   FROM (SELECT doc_id, list(id ORDER BY pno) AS ids FROM enc GROUP BY 1) c
   JOIN (SELECT doc_id, list(e ORDER BY unit) AS ends FROM ends GROUP BY 1) s ON s.doc_id = c.doc_id),
 copies AS (
-  SELECT *, CASE WHEN {bits} < {short} THEN {pick} + 2 ELSE {full} END AS target
-  FROM corpus, (SELECT unnest(range(0, 2)) AS copy) k)""".format(
-    bits=Q.bits(_TARGET), short=SHORT, pick=Q.pick(_TARGET, str(FULL - 1), 1), full=FULL
-)
+  SELECT *, CASE WHEN {Q.bits(_TARGET)} < {SHORT} THEN {Q.pick(_TARGET, str(full - 1), 1)} + 2 ELSE {full} END AS target
+  FROM corpus, (SELECT unnest(range(0, 2)) AS copy) k)"""
+
+
+SEGMENTS = segments_sql(CFG)
 
 PLAN = """
 firsts AS (
@@ -92,10 +98,12 @@ def _heads(side: str) -> str:
     )
 
 
-TRIMMED = f"""
+def trimmed_sql(cfg: P.PairConfig) -> str:
+    full = cfg.max_length - 3
+    return f"""
 sized AS (
-  SELECT *, least(len(a), greatest({FULL} - len(b), {FULL - FULL // 2})) AS ka,
-            least(len(b), greatest({FULL} - len(a), {FULL // 2})) AS kb FROM pairs),
+  SELECT *, least(len(a), greatest({full} - len(b), {full - full // 2})) AS ka,
+            least(len(b), greatest({full} - len(a), {full // 2})) AS kb FROM pairs),
 headed AS (SELECT *, {_heads('a')} AS ha, {_heads('b')} AS hb FROM sized),
 trimmed AS (
   SELECT doc_id, copy, chunk, rnd, a[ha + 1:ha + ka] AS a, b[hb + 1:hb + kb] AS b FROM headed),
@@ -103,8 +111,14 @@ rows AS MATERIALIZED (
   SELECT doc_id, copy, chunk, rnd, len(a) AS la, len(b) AS lb,
     list_concat(list_concat(list_concat([2], a), list_concat([3], b)), [3]) AS ids FROM trimmed)"""
 
+
+TRIMMED = trimmed_sql(CFG)
+
 _MASK = Q.digest(S + "/mask", "doc_id", "copy", "chunk", "pos")
-MASKED = f"""
+
+
+def masked_sql(cfg: P.PairConfig) -> str:
+    return f"""
 cells AS (
   SELECT doc_id, copy, chunk, len(ids) AS n, unnest(ids) AS id, generate_subscripts(ids, 1) - 1 AS pos FROM rows),
 ranked AS (
@@ -115,7 +129,10 @@ chosen AS MATERIALIZED (
     CASE WHEN {Q.bits('d', 1)} < {int(0.8 * 2**32)} THEN 4
          WHEN {Q.bits('d', 1)} < {int(0.9 * 2**32)} THEN id
          ELSE {Q.pick('d', '(SELECT count(*) FROM vocab)', 2)} END AS new_id
-  FROM ranked WHERE r <= least({CFG.max_predictions}, greatest(1, round_even(n * {CFG.masked_prob}::DOUBLE, 0))))"""
+  FROM ranked WHERE r <= least({cfg.max_predictions}, greatest(1, round_even(n * {cfg.masked_prob}::DOUBLE, 0))))"""
+
+
+MASKED = masked_sql(CFG)
 
 BASE = Q.CORPUS + "," + SEGMENTS
 
@@ -161,7 +178,7 @@ def repeat(spark, sf):
     + " SELECT doc_id, copy, chunk, first, a_end, stop AS last, rnd::BIGINT AS random_next FROM plan",
 )
 def chunk_plan(spark, sf):
-    return P.plan_instances(_corpus(spark, sf), CFG).select(
+    return P.chunk_plans(_corpus(spark, sf), CFG).select(
         "doc_id", "copy", "chunk", "first", "a_end", "last", "random_next"
     )
 
@@ -236,19 +253,20 @@ def _training(spark, sf):
     return P.training_rows(docs, vocabulary(spark, sf), CFG)
 
 
-@query(
-    "pt7_training_rows",
-    _ROWS
-    + """, swapped AS (
+def training_sql(cfg: P.PairConfig) -> str:
+    parts = [Q.CORPUS, segments_sql(cfg), PLAN, PARTNERS, trimmed_sql(cfg), masked_sql(cfg)]
+    return ",".join(parts) + f""", swapped AS (
   SELECT c.doc_id, c.copy, c.chunk, list(coalesce(m.new_id, c.id) ORDER BY c.pos) AS ids
   FROM cells c LEFT JOIN chosen m ON m.doc_id = c.doc_id AND m.copy = c.copy AND m.chunk = c.chunk AND m.pos = c.pos
   GROUP BY 1, 2, 3)
-SELECT doc_id, copy, chunk, array_to_string(list_resize(s.ids, 128, 0), ' ') AS input_ids,
- array_to_string(list_resize(list_transform(s.ids, lambda x: 1), 128, 0), ' ') AS input_mask,
- array_to_string(list_resize(list_transform(s.ids, lambda x, i: CASE WHEN i > la + 2 THEN 1 ELSE 0 END), 128, 0), ' ') AS segment_ids,
+SELECT doc_id, copy, chunk, array_to_string(list_resize(s.ids, {cfg.max_length}, 0), ' ') AS input_ids,
+ array_to_string(list_resize(list_transform(s.ids, lambda x: 1), {cfg.max_length}, 0), ' ') AS input_mask,
+ array_to_string(list_resize(list_transform(s.ids, lambda x, i: CASE WHEN i > la + 2 THEN 1 ELSE 0 END), {cfg.max_length}, 0), ' ') AS segment_ids,
  rnd::BIGINT AS next_sentence_labels
-FROM swapped s JOIN rows USING (doc_id, copy, chunk)""",
-)
+FROM swapped s JOIN rows USING (doc_id, copy, chunk)"""
+
+
+@query("pt7_training_rows", training_sql(CFG))
 def training(spark, sf):
     return _training(spark, sf).select(
         "doc_id", "copy", "chunk", "input_ids", "input_mask", "segment_ids", "next_sentence_labels"
@@ -267,7 +285,7 @@ def round_robin(spark, sf):
     from textloom.operators.order import dense_index
     from textloom.sources.sinks import shard_numbers
 
-    planned = P.plan_instances(_corpus(spark, sf), CFG).select("doc_id", "copy", "chunk")
+    planned = P.chunk_plans(_corpus(spark, sf), CFG).select("doc_id", "copy", "chunk")
     order = [draw_hex(S + "/order", "doc_id", "copy", "chunk"), "doc_id", "copy", "chunk"]
     numbered = dense_index(planned, order, "instance_no")
     return shard_numbers(numbered, "instance_no", 8).groupBy("shard").agg(F.count("*").alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.plans.vocabulary import corpus_vocabulary
-from textloom.session import spread
+from textloom.session import shared_folder, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,6 +60,11 @@ def shared(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
     return _shared[key]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, for files that a query writes and reads."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus vocabulary of ``documents``."""
     return shared(

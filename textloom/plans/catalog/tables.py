@@ -3,12 +3,13 @@
 from pyspark.sql import functions as F
 
 from textloom.operators import upserts as U
-from textloom.operators.labels import guid, has_text
+from textloom.operators.labels import drop_missing, guid, has_text, keep_labels, raw_labels
 from textloom.operators.sequences import decode_features
 from textloom.plans.catalog.datasets import tagged_documents
-from textloom.plans.catalog.registry import query, table
+from textloom.plans.catalog.registry import new_folder, query, table
 from textloom.sources.layouts import Layout, apply_layout, comma_rows
 from textloom.sources.readers import split_pair
+from textloom.sources.sinks import write_features
 
 _LINE = "replace(replace(text, chr(10), ' '), chr(13), ' ')"
 
@@ -100,12 +101,12 @@ def guids(spark, sf):
 @query("prj11_label_whitelist", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')")
 def whitelist(spark, sf):
     rows = table(spark, sf, "events").select("event_id", "event_type")
-    return rows.filter(F.col("event_type").isin("click", "purchase"))
+    return keep_labels(rows, "event_type", ["click", "purchase"])
 
 
 @query("prj13_drop_null_tags", "SELECT doc_id, source FROM documents WHERE n_chars >= 400 AND text IS NOT NULL")
 def drop_null_tags(spark, sf):
-    rows = tagged_documents(spark, sf).dropna(subset=["origin", "text"])
+    rows = drop_missing(tagged_documents(spark, sf), "origin")
     return rows.select("doc_id", F.get("origin", F.lit(0)).alias("source"))
 
 
@@ -115,8 +116,8 @@ def drop_null_tags(spark, sf):
 UNION ALL SELECT doc_id, lang || '  ' || source, md5(text) FROM documents""",
 )
 def labels_back(spark, sf):
-    rows = tagged_documents(spark, sf)
-    return rows.select("doc_id", F.explode("topic").alias("label"), F.md5(F.get("text", F.lit(0))).alias("text"))
+    rows = raw_labels(tagged_documents(spark, sf), ["topic"], ["doc_id"])
+    return rows.select("doc_id", "label", F.md5("text").alias("text"))
 
 
 @query(
@@ -124,9 +125,13 @@ def labels_back(spark, sf):
     "SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents GROUP BY 1",
 )
 def counters(spark, sf):
-    return table(spark, sf, "documents").groupBy("lang").agg(
-        F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")
-    )
+    docs = table(spark, sf, "documents").select("lang", F.length("text").alias("chars"))
+    path = new_folder(spark, "counted")
+    written = write_features(docs, path)
+    back = spark.read.parquet(path)
+    if back.count() != written:
+        raise ValueError("rows written and rows counted differ")
+    return back.groupBy("lang").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
 
 
 @query(

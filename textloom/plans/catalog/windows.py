@@ -1,8 +1,11 @@
 """Question windows over contexts made from `documents`."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textloom.functions import arrays as A
+from textloom.functions import text as X
+from textloom.operators import checks as K
 from textloom.operators import windows as W
 from textloom.operators.subword import vocab_facts
 from textloom.plans import oracle_parts as Q
@@ -87,6 +90,12 @@ BASE = Q.with_parts(PARAGRAPHS, TEXT_WORDS, Q.VOCAB, Q.dictionary(), Q.ENCODED,
 SIMPLE = Q.with_parts(PARAGRAPHS).rstrip()
 
 
+PAIR_WORDS = f"""
+sides AS (
+  SELECT {Q.words('text')} AS a, {Q.words('next')} AS b FROM (
+    SELECT text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations))"""
+
+
 def paragraphs(spark, sf):
     docs = table(spark, sf, "documents")
     return shared(spark, sf, "paragraphs", lambda: cut(document_paragraphs(docs)))
@@ -158,11 +167,31 @@ UNION ALL SELECT 'empty_question', count(*) FILTER (question = '') FROM examples
 )
 def violations(spark, sf):
     rows = paragraphs(spark, sf).select(F.explode("qas").alias("qa"))
-    counts = rows.agg(
-        F.count(F.when(F.size("qa.answers") != 1, 1)).alias("answers"),
-        F.count(F.when(F.col("qa.question") == "", 1)).alias("empty_question"),
-    )
-    return counts.unpivot([], ["answers", "empty_question"], "rule", "bad")
+    return K.violations(rows, K.question_rules())
+
+
+@query(
+    "prj15_widths_and_sides",
+    Q.with_parts(PAIR_WORDS) + """ SELECT 'a_width' AS rule, count(*) FILTER (len(a) <> 12) AS bad FROM sides
+UNION ALL SELECT 'b_width', count(*) FILTER (b IS NULL OR len(b) <> 12) FROM sides
+UNION ALL SELECT 'empty_a', count(*) FILTER (len(a) = 0) FROM sides
+UNION ALL SELECT 'empty_b', count(*) FILTER (b IS NULL OR len(b) = 0) FROM sides""",
+)
+def widths_and_sides(spark, sf):
+    by_turn = Window.partitionBy("conv_id").orderBy("turn")
+    turns = table(spark, sf, "conversations").select("text", F.lead("text").over(by_turn).alias("next"))
+    sides = turns.select(X.words_of(F.col("text")).alias("a"), X.words_of(F.col("next")).alias("b"))
+    return K.violations(sides, K.width_rules({"a": 12, "b": 12}) | K.side_rules("a", "b"))
+
+
+@query(
+    "qa4_short_queries",
+    BASE + " SELECT qas_id, array_to_string(qi[1:3], ' ') AS ids, array_to_string(qp[1:3], ' ') AS pieces FROM joined",
+)
+def short_queries(spark, sf):
+    cfg = W.WindowConfig(negatives=True, max_query=3)
+    rows = W.question_pieces(W.encode_examples(paragraphs(spark, sf), cfg, vocabulary(spark, sf)))
+    return rows.select("qas_id", F.col("query_ids").alias("ids"), F.col("query_pieces").alias("pieces"))
 
 
 @query("qa4_query_pieces", BASE + " SELECT qas_id, len(qi)::BIGINT AS n, array_to_string(qi, ' ') AS ids FROM joined")

@@ -40,16 +40,14 @@ def tagged_dataset(
     rows = L.explode_labels(L.has_text(docs), tags, [key])
     top = cut(L.top_labels(rows, n_labels))
     kept = L.restrict_labels(rows, top, keep_other)
+    keyed = kept.drop("text")
     if split:
-        # The split needs keys only; texts are not moved for ranking.
-        keyed = L.positional_split(kept.drop("text"), ["tag"], [key, "label_no"], train_share)
-        texts = docs.select(key, _first(docs, "text").alias("text"))
-        kept = keyed.join(texts, key)
+        keyed = L.positional_split(keyed, ["tag"], [key, "label_no"], train_share)
     else:
-        kept = kept.withColumn("split", F.lit("train"))
-    out = kept.withColumn("inputs", tagged_text(F.col("text"), max_sentences)).select(
-        key, "tag", "label_no", "label", "label_id", "split", "inputs"
-    )
+        keyed = keyed.withColumn("split", F.lit("train"))
+    # A text is cleaned once, however many labels it has, and never moved for ranking.
+    texts = docs.select(key, tagged_text(_first(docs, "text"), max_sentences).alias("inputs"))
+    out = keyed.join(texts, key).select(key, "tag", "label_no", "label", "label_id", "split", "inputs")
     return out, L.selected_labels(rows, top, keep_other)
 
 
@@ -64,7 +62,7 @@ def tweet_dataset(tweets: DataFrame, keys: list[str]) -> DataFrame:
         X.rule_words(X.strip_handles(F.col("text"))),
         lambda t: X.delete_chars(t, X.TWEET_PUNCTUATION),
     )
-    return tweets.filter(F.col("label").isin(0, 4)).select(
+    return L.keep_labels(tweets, "label", [0, 4]).select(
         *keys, X.joined_lower(tokens, strip=False).alias("inputs"), "label"
     )
 
@@ -76,6 +74,11 @@ def review_tokens(text, first_sentence_only: bool):
     return F.filter(stripped, lambda t: t != "br")
 
 
+def shorter_than(rows: DataFrame, tokens: str, n: int) -> DataFrame:
+    """Rows of fewer than ``n`` tokens."""
+    return rows.filter(F.size(tokens) < n)
+
+
 def review_dataset(
     reviews: DataFrame, keys: list[str], first_sentence_only: bool = False, max_tokens: int | None = None
 ) -> DataFrame:
@@ -85,5 +88,5 @@ def review_dataset(
     """
     rows = reviews.withColumn("tokens", review_tokens(F.col("text"), first_sentence_only))
     if max_tokens is not None:
-        rows = rows.filter(F.size("tokens") < max_tokens)
+        rows = shorter_than(rows, "tokens", max_tokens)
     return rows.select(*keys, X.joined_lower(F.col("tokens"), strip=True).alias("inputs"), "label")
