@@ -55,6 +55,13 @@ class PieceAutomaton:
         self._grow([t for t in best if t], [best[t] for t in best if t])
         self._link()
 
+    @classmethod
+    def of(cls, state: dict) -> "PieceAutomaton":
+        """From the attributes of another one; plain arrays travel as a broadcast."""
+        made = cls.__new__(cls)
+        made.__dict__.update(state)
+        return made
+
     def _grow(self, tokens: list[str], ids: list[int]) -> None:
         """Both tries, one level of all tokens at a time."""
         inner = [t[2:] for t in tokens]
@@ -255,8 +262,8 @@ def encoder(shared):
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, with_pieces = shared.value
-        memory = WordMemory(automaton)
+        state, with_pieces = shared.value
+        memory = WordMemory(PieceAutomaton.of(state))
         for whole in batches:
             for batch in _portions(whole):
                 column = batch.column(batch.num_columns - 1)

@@ -104,7 +104,7 @@ def compiled(vocab: DataFrame, facts: VocabFacts, with_pieces: bool = False, max
     if UNK not in facts.special:
         raise KeyError(f"vocabulary has no {UNK}")
     automaton = PieceAutomaton(tokens, ids, facts.special[UNK], MAX_WORD_CHARS)
-    return vocab.sparkSession.sparkContext.broadcast((automaton, spelled))
+    return vocab.sparkSession.sparkContext.broadcast((vars(automaton), spelled))
 
 
 def longest_matches(words: DataFrame, vocab: DataFrame, facts: VocabFacts) -> DataFrame:
@@ -119,7 +119,7 @@ def longest_matches(words: DataFrame, vocab: DataFrame, facts: VocabFacts) -> Da
         return _joined_matches(words, vocab, facts.longest)
 
     def walk(batches):
-        automaton, _ = shared.value
+        automaton = PieceAutomaton.of(shared.value[0])
         for whole in batches:
             for batch in (whole.slice(k, 20_000) for k in range(0, whole.num_rows, 20_000)):
                 texts = batch.column(batch.schema.get_field_index("word")).cast(pa.large_string())
