@@ -127,3 +127,26 @@ def test_text_beside_articles_is_judged(spark):
         want[10 + k] = f"body{k} text\nteaser"
     df = spark.createDataFrame(rows, "page_id long, html string").selectExpr("page_id", "'http://h/' AS url", "html")
     assert {r.page_id: r.text for r in H.main_text(df).collect()} == want
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p>a</p><!--><p>b</p><!---><p>c</p><!-- x --!><p>d</p></article>", "a\nb\nc\nd"),
+        ("<article><p>a</p><div class='search-results-study'>b</div><p id='privacy-law'>c</p></article>", "a\nb\nc"),
+        ("<article><p>a</p><div class='share-buttons'>b</div><p id='comment-17'>c</p><p>d</p></article>", "a\nd"),
+        ("<div class='search-results-study'>b</div><article>a</article>", "a"),
+    ],
+)
+def test_empty_comments_and_whole_names(page, text):
+    assert H.parsed(page)[0] == text
+
+
+def test_open_blocks_know_their_places():
+    """A block equal to an earlier one is judged where it stands."""
+    page = "<ul><li>a b</li></ul><p>x y</p><p>a b</p>"
+    settled, blocks, begins, outside, _ = H.parsed(page)
+    assert settled is None and blocks == ["a b", "x y", "a b"] == outside and begins == [0, 2, 4]
+    assert H.unique_text(blocks, begins, {0, 1}) == "x y\na b"
+    assert H.unique_text(["a b", "sure"], [4, -1], {0, 1}) == "a b\nsure"
+    assert H.unique_text(["a b"], [0], {0, 1}) == ""

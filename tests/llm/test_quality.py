@@ -45,3 +45,13 @@ def test_edges(spark):
     assert len(Q.graded(docs, model).collect()) == 5
     assert Q.graded(docs.limit(0), model).count() == 0
     assert Q.shape("HELLO!!!!") == "A!!" and Q.shape("Word,") == "Aa," and Q.shape("a1234") == "a0"
+
+
+def test_a_long_rated_text_costs_only_itself(spark):
+    rows = [(k, "poor poor" if k % 3 == 0 else "good text" if k % 3 == 1 else "fine words") for k in range(30)]
+    rows += [(100 + k, "poor " * 20_000) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rated = spark.createDataFrame([(d, 0 if d >= 100 else d % 3) for d, _ in rows], "doc_id long, g int")
+    model = Q.fit(docs, rated, F.col("g"), F.lit(True), Q.QualityConfig(max_bytes=60_000))
+    grades = {r.doc_id: r.expected_grade for r in Q.graded(docs.filter("doc_id < 30"), model).collect()}
+    assert grades[0] < grades[1] < grades[2]

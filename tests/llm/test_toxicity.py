@@ -74,3 +74,15 @@ def test_highest_passages_by_loop():
         means = [own[i : i + 4].mean() for i in range(max(1, len(own) - 3))] if len(own) else [0]
         assert best[k] == pytest.approx(max(means))
         assert at[k] == starts[k] + int(np.argmax(means))
+
+
+def test_a_long_labelled_text_costs_only_itself(spark):
+    config = T.ToxicityConfig(max_bytes=20_000)
+    rows = [(k, f"{'bad idiot' if k % 2 else 'fine day'} number {k}") for k in range(30)]
+    rows += [(100 + k, "idiot " * 5_000) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, int(d % 2 or d >= 100)) for d, _ in rows], "doc_id long, toxic int")
+    sample = T.training_rows(docs, labels, "toxic", F.lit(True), config).collect()
+    assert {r.doc_id for r in sample} == set(range(30))
+    one = T.training_rows(docs, labels, "toxic", F.lit(True), T.ToxicityConfig(max_bytes=70_000)).collect()
+    assert {r.doc_id for r in one} >= set(range(30)) and len(one) == 31

@@ -105,3 +105,29 @@ def test_foreign_and_cut_files(spark, tmp_path):
 def test_empty_table(spark, pages):
     folder = warc.write_archives(pages.limit(0))
     assert warc.read_archives(spark, folder).count() == 0
+
+
+def _archive(version, bodies):
+    head = "{}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{}>\r\nWARC-Payload-Digest: sha1:{}\r\nContent-Length: {}\r\n\r\n"
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    out = b""
+    for k, body in enumerate(bodies):
+        digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+        out += head.format(version, k, digest, len(http) + len(body)).encode() + http + body + b"\r\n\r\n"
+    return out
+
+
+def test_both_versions_are_read(spark, tmp_path):
+    bodies = [b"one", b"WARC/1.0\r\nContent-Length: 1\r\n\r\nx\r\n\r\nWARC/1.", b"WARC/1.1\r\n", b"last"]
+    for version in ("WARC/1.0", "WARC/1.1"):
+        (tmp_path / version.replace("/", "")).write_bytes(_archive(version, bodies))
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted(r.payload_bytes for r in rows) == sorted(2 * [len(b) for b in bodies])
+    assert all(r.intact for r in rows)
+
+
+@pytest.mark.parametrize("version", ["WARC/0.18", "WARC/1.2"])
+def test_unknown_version_is_an_error(spark, tmp_path, version):
+    (tmp_path / "x.warc").write_bytes(_archive(version, [b"one"]))
+    with pytest.raises(ValueError, match="unknown version"):
+        warc.read_archives(spark, str(tmp_path)).count()

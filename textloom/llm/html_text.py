@@ -49,7 +49,7 @@ class ExtractConfig:
 
 
 _TAG = re.compile(
-    r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)"
+    r"<(?:!--(?:-?>|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)"
     r"|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z))",
     re.S,
 )
@@ -77,6 +77,12 @@ _NAMES = frozenset(
 _STEMS = ("advert", "adsense", "sponsor", "promo", "banner", "comment", "sidebar", "cookie")
 _UNLESS = frozenset("has with no without free".split())
 _HELD = frozenset("header masthead".split())
+#: Words that a part's name adds without telling what the part is about.
+_FILL = frozenset(
+    "box bar list lists links link wrapper wrap container block blocks section area panel item items slot unit "
+    "button buttons inner outer top bottom left right main content text inline row col group holder module "
+    "posts post articles article stories story tools icons icon message msg title body site page global js".split()
+)
 _NEVER = frozenset("html body main article".split())
 _SPACED = frozenset("br td th hr img".split())
 
@@ -84,8 +90,9 @@ _SPACED = frozenset("br td th hr img".split())
 def _named_apart(attributes: str, held: bool) -> bool:
     """Whether class, id or role name a part that is not the article.
 
-    Names that tell of something a part has or lacks don't count, and inside
-    an article (``held``) a header is the article's own.
+    Names that tell of something a part has or lacks don't count. Inside an
+    article (``held``) a header is the article's own, and a name counts only as a
+    whole: a word beside the known ones makes it the name of something else.
     """
     for key, *values in _ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "").lower()
@@ -97,6 +104,9 @@ def _named_apart(attributes: str, held: bool) -> bool:
                 words = re.split(r"[_\-]+", name)
                 if _UNLESS.intersection(words):
                     continue
+                known = lambda w: w in _NAMES or w in _FILL or w.startswith(_STEMS) or not w.strip("0123456789")
+                if held and not all(map(known, words)):
+                    continue
                 for word in words:
                     if (word in _NAMES and not (held and word in _HELD)) or word.startswith(_STEMS):
                         return True
@@ -198,27 +208,33 @@ def blocks(page: str) -> list[tuple[str, str]]:
     return found
 
 
-def parsed(page: str) -> tuple[str | None, list[str], list[bool], list[str], str]:
+def parsed(page: str) -> tuple[str | None, list[str], list[int], list[str], str]:
     """The text if the markup settles it, else None and the blocks that may stay.
 
-    Then whether the markup alone keeps each of these; the blocks that
-    repetition is looked for in; and all tokens.
+    Then where each of these begins in the stream of outside tokens, -1 where the
+    markup alone keeps it; the blocks that repetition is looked for in; and all tokens.
     """
     found = blocks(page)
     zones = {z for z, _ in found}
     body = next((z for z in ("article", "main") if z in zones), "open")
     beside = "main" if "main" in zones else "open"
-    kept = [(t, z == "article") for z, t in found if z in (body, beside)]
-    outside = [t for z, t in found if z != "article" and (z != "main" or "article" in zones)]
+    kept, outside, place = [], [], 0
+    for zone, text in found:
+        apart = zone != "article" and (zone != "main" or "article" in zones)
+        if zone in (body, beside):
+            kept.append((text, -1 if zone == "article" else place))
+        if apart:
+            outside.append(text)
+            place += len(text.split())
     tokens = " ".join(t for _, t in found)
-    if not kept or body == "main" or all(sure for _, sure in kept):
+    if not kept or body == "main" or all(at < 0 for _, at in kept):
         return "\n".join(t for t, _ in kept), [], [], outside, tokens
-    return None, [t for t, _ in kept], [sure for _, sure in kept], outside, tokens
+    return None, [t for t, _ in kept], [at for _, at in kept], outside, tokens
 
 
 _PARSED = (
     "row string, page_id long, url string, host string, text string, open array<string>, "
-    "sure array<boolean>, outside array<string>, print long, outside_print long"
+    "begins array<int>, outside array<string>, outside_tokens long, print long, outside_print long"
 )
 
 
@@ -235,13 +251,14 @@ def parse_pages(pages: DataFrame) -> DataFrame:
 
     def parse(batches):
         for batch in chunks(batches, "html"):
-            text, open_, sure, outside, prints, outside_prints = [], [], [], [], [], []
+            text, open_, begins, outside, sizes, prints, outside_prints = [], [], [], [], [], [], []
             for page in batch.column(3).to_pylist():
-                settled, unsettled, kept, apart, tokens = parsed(page)
+                settled, unsettled, at, apart, tokens = parsed(page)
                 text.append(settled)
                 open_.append(unsettled)
-                sure.append(kept)
+                begins.append(at)
                 outside.append(apart)
+                sizes.append(sum(len(b.split()) for b in apart))
                 prints.append(xxhash.xxh3_64_intdigest(tokens) >> 1)
                 outside_prints.append(xxhash.xxh3_64_intdigest(" ".join(apart)) >> 1)
             lists = pa.list_(pa.string())
@@ -253,12 +270,13 @@ def parse_pages(pages: DataFrame) -> DataFrame:
                     batch.column(2),
                     pa.array(text, pa.string()),
                     pa.array(open_, lists),
-                    pa.array(sure, pa.list_(pa.bool_())),
+                    pa.array(begins, pa.list_(pa.int32())),
                     pa.array(outside, lists),
+                    pa.array(sizes, pa.int64()),
                     pa.array(prints, pa.int64()),
                     pa.array(outside_prints, pa.int64()),
                 ],
-                names=["row", "page_id", "url", "host", "text", "open", "sure", "outside", "print", "outside_print"],
+                names=[f.split()[0] for f in _PARSED.split(", ")],
             )
 
     return written(rows.mapInArrow(parse, _PARSED), "pages")
@@ -361,23 +379,14 @@ def repeated_runs(rows: DataFrame, config: ExtractConfig) -> DataFrame:
     )
 
 
-def unique_text(
-    open_blocks: list[str], sure: list[bool], outside: list[str], covered: set[int]
-) -> str:
-    """The blocks that are ``sure``, and the others without their ``covered`` places of the outside stream."""
-    kept, place, rest = [], 0, iter(outside)
-    for block, stays in zip(open_blocks, sure):
-        if stays:
+def unique_text(open_blocks: list[str], begins: list[int], covered: set[int]) -> str:
+    """The blocks that begin nowhere outside, and the others without their ``covered`` places."""
+    kept = []
+    for block, first in zip(open_blocks, begins):
+        if first >= 0:
+            block = " ".join(w for k, w in enumerate(block.split()) if first + k not in covered)
+        if block:
             kept.append(block)
-            continue
-        words, first = block.split(), place
-        for other in rest:
-            first, place = place, place + len(other.split())
-            if other == block:
-                break
-        left = [w for k, w in enumerate(words) if first + k not in covered]
-        if left:
-            kept.append(" ".join(left))
     return "\n".join(kept)
 
 
@@ -423,12 +432,12 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
     def keep(batches):
         for batch in batches:
             texts, outside_tokens, hidden_tokens = [], [], []
-            for text, open_, sure, outside, starts in zip(
+            for text, open_, begins, size, starts in zip(
                 *(batch.column(k).to_pylist() for k in range(2, 7))
             ):
                 hidden = {p + k for p in starts or () for k in range(width)}
-                texts.append(unique_text(open_, sure, outside, hidden) if text is None else text)
-                outside_tokens.append(sum(len(b.split()) for b in outside))
+                texts.append(unique_text(open_, begins, hidden) if text is None else text)
+                outside_tokens.append(size)
                 hidden_tokens.append(len(hidden))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -443,7 +452,7 @@ def main_text(pages: DataFrame, config: ExtractConfig = ExtractConfig()) -> Data
 
     return (
         rows.join(covered, "row", "left")
-        .select("page_id", "url", "text", "open", "sure", "outside", "places")
+        .select("page_id", "url", "text", "open", "begins", "outside_tokens", "places")
         .mapInArrow(
             keep,
             "page_id long, url string, text string, outside_tokens long, boilerplate_tokens long",

@@ -48,9 +48,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import (
     chunks,
+    give_back,
     hash_strings,
     mix64,
     texts_of,
+    tidy,
     word_hashes,
     written,
 )
@@ -62,6 +64,7 @@ class ModelConfig:
     discount: float = 0.75
     imagined: float = 2.0
     pack_bytes: int = 12 * 1024 * 1024
+    shard_tokens: int = 1_000_000
     split: int = 64
 
 
@@ -293,7 +296,7 @@ def _packs(docs: DataFrame, held: Column, config: ModelConfig) -> DataFrame:
         "pack string, ids array<long>, held array<boolean>, named array<boolean>, size long, "
         "seen binary, tokens binary"
     )
-    return written(rows.mapInArrow(pack, schema), "packs")
+    return written(rows.mapInArrow(tidy(pack), schema), "packs")
 
 
 def _joined(batches, limit: int):
@@ -378,11 +381,18 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score``; the scores are log10 probabilities of whole texts.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packs = _packs(docs, held, config)
+    tokens = packs.agg(F.sum("size")).first()[0] or 0
+    # What a shard holds is bounded by its tokens, whatever the corpus.
+    shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + tokens // config.shard_tokens)
     hot = frequent_words(packs, shards, config)
     whole = learned_counts(packs, hot)
 
+    def answer(pdf):
+        out = _answer(pdf, config, (hot, whole)).drop(columns="mass")
+        give_back()
+        return out
+
     def emit(batches):
         for batch in batches:
             for k in range(batch.num_rows):
@@ -397,10 +407,10 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
 
     answers = written(
         packs.select("pack", "held", "seen", "tokens")
-        .mapInArrow(emit, "pack string, shard long, blob binary")
+        .mapInArrow(tidy(emit), "pack string, shard long, blob binary")
         .groupBy("shard")
         .applyInPandas(
-            lambda pdf: _answer(pdf, config, (hot, whole)).drop(columns="mass"),
+            answer,
             "pack string, shard long, answer binary, tokens long, types long, "
             "divided array<long>, kinds array<long>",
         ),
@@ -437,7 +447,9 @@ def score(docs: DataFrame, held: Column, config: ModelConfig = ModelConfig()) ->
             held_out = np.array(row.held, dtype=bool)
             scores = _scored(layout, count, (part, kind, code), train_tokens, types, config)
             rows.append(pd.DataFrame({"doc_id": ids, "held_out": held_out, **scores}))
-        return pd.concat(rows)
+        out = pd.concat(rows)
+        give_back()
+        return out
 
     return (
         packs.groupBy("pack")

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import chunks, fresh_texts, hash_strings, texts_of
+from textloom.llm.common import chunks, fresh_texts, hash_strings, texts_of, tidy
 
 
 @dataclass(frozen=True)
@@ -165,13 +165,14 @@ def fit(
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         chosen, F.col("doc_id") == F.col("_id")
     )
-    running = Window.partitionBy("grade").orderBy(order, "doc_id", "text").rowsBetween(
+    # Texts of more than a 32nd of the bound come last, so that they cost none but themselves.
+    size, bound = F.octet_length("text"), config.max_bytes // config.grades
+    long = size > bound // 32
+    running = Window.partitionBy("grade").orderBy(long, F.when(long, size), order, "doc_id", "text").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    size = F.sum(F.octet_length("text")).over(running)
-    sample = found.withColumn("_size", size).filter(
-        F.col("_size") <= config.max_bytes // config.grades
-    ).select("doc_id", "grade", "text")
+    total = F.sum(size).over(running)
+    sample = found.withColumn("_size", total).filter(F.col("_size") <= bound).select("doc_id", "grade", "text")
 
     def run(batches):
         rows = [b for b in batches if b.num_rows]
@@ -185,7 +186,7 @@ def fit(
                 }
             )
 
-    row = sample.coalesce(1).mapInArrow(run, "weights binary, thresholds array<double>").first()
+    row = sample.coalesce(1).mapInArrow(tidy(run), "weights binary, thresholds array<double>").first()
     if row is None:
         return train(pa.array([], pa.large_string()), np.zeros(0), config)
     weights = np.frombuffer(bytes(row["weights"]), dtype=np.float32)
@@ -207,4 +208,4 @@ def graded(docs: DataFrame, model: QualityModel) -> DataFrame:
     rows = docs.select("doc_id", "text")
     empty = F.array().cast("array<double>")
     schema = rows.select("doc_id", F.lit(0.0).alias("expected_grade"), empty.alias("tails")).schema
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

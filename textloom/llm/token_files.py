@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import chunks, ragged, texts_of, worker_state
+from textloom.llm.common import chunks, ragged, texts_of, tidy, worker_state
 from textloom.session import shared_folder
 
 # Fixed value: the split pattern of byte-level pair encoding.
@@ -40,8 +40,9 @@ _ODD = (
     r" (?:[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}"
     r"\x{3000}]|\z)"
 )
-#: Pieces whose ids a worker keeps; once full, others are encoded each time they come.
-KEPT_PIECES = 300_000
+#: Pieces whose ids a worker keeps, and the characters of all it keeps; once full,
+#: others are encoded each time they come.
+KEPT_PIECES, KEPT_CHARS = 300_000, 12_000_000
 #: Text encoded at once.
 ENCODE_BYTES = 2 * 1024 * 1024
 # Fixed value: ASCII signs that a piece of letters or digits never runs into.
@@ -82,6 +83,9 @@ class Encoder:
         assert sorted(names.values()) == sorted(pre_tokenizers.ByteLevel.alphabet())
         self.bytes = str.maketrans({chr(b): c for b, c in names.items()})
         self.known: dict[str, int] = {}
+        #: Whole strings, signs at the end included, and where their ids stand.
+        self.strings: dict[str, int] = {}
+        self.chars = 0
         self.ids, self.ends = array("i"), array("q", [0])
         self.known[""] = self._add([])
         self.kept = len(self.ends)
@@ -95,43 +99,45 @@ class Encoder:
         coded = piece.encode().decode("latin1").translate(self.bytes)
         return [t.id for t in self.model.tokenize(coded)]
 
-    def _places(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Where the ids of each string's front and of the signs at its end stand."""
-        front, back = np.empty(len(strings), np.int64), np.empty(len(strings), np.int64)
-        known, add, tokens = self.known, self._add, self._ids
-        new: dict[str, int] = {}
+    def _places(self, strings: list[str]) -> np.ndarray:
+        """Where the ids of each string stand."""
+        found = list(map(self.strings.get, strings))
+        known, add, tokens, ends, ids = self.known, self._add, self._ids, self.ends, self.ids
+        # Without room, what is added here goes after this batch.
+        room = len(known) < KEPT_PIECES and self.chars < KEPT_CHARS
+        made = known if room else {}
 
         def place(piece: str) -> int:
             at = known.get(piece)
             if at is None:
-                at = new.get(piece)
+                at = made.get(piece)
                 if at is None:
-                    at = new[piece] = add(tokens(piece))
+                    at = made[piece] = add(tokens(piece))
             return at
 
-        mixed = []
-        for k, string in enumerate(strings):
+        for k in [k for k, at in enumerate(found) if at is None]:
+            string = strings[k]
             core = string.rstrip(_SIGNS)
             if not core[-1:].isalnum():
                 core = string
-            at = known.get(core)
-            if at is None:
-                if core and not core.lstrip(" ").isalpha():
-                    pieces = [place(p) for p in self.piece.findall(core)]
-                    mixed.append((k, pieces, place(string[len(core) :])))
-                    continue
-                at = place(core)
-            front[k] = at
-            back[k] = place(string[len(core) :])
-        if len(known) < KEPT_PIECES:
-            known.update(new)
-            self.kept = len(self.ends)
-        ends, ids = self.ends, self.ids
-        for k, pieces, signs in mixed:
-            whole = [i for p in pieces for i in ids[ends[p] : ends[p + 1]]]
-            front[k] = pieces[0] if len(pieces) == 1 else add(whole)
-            back[k] = signs
-        return front, back
+            if core in known or not core or core.lstrip(" ").isalpha():
+                parts = [place(core)]
+            else:
+                parts = [place(p) for p in self.piece.findall(core)]
+            if len(core) < len(string):
+                parts.append(place(string[len(core) :]))
+            if len(parts) > 1:
+                whole = ids[ends[parts[0]] : ends[parts[0] + 1]]
+                for p in parts[1:]:
+                    whole += ids[ends[p] : ends[p + 1]]
+                parts = [add(whole)]
+            found[k] = parts[0]
+            if room:
+                self.strings[string] = parts[0]
+                self.chars += len(string)
+        if room:
+            self.kept = len(ends)
+        return np.array(found, dtype=np.int64)
 
     def _forget(self):
         """Give up the ids that are not kept."""
@@ -158,21 +164,23 @@ class Encoder:
         first[offsets[:-1]] = True
         lead = pc.if_else(pa.array(first), pa.scalar("", flat.type), pa.scalar(" ", flat.type))
         coded = pc.binary_join_element_wise(lead, flat, pa.scalar("", flat.type)).dictionary_encode()
-        front, back = self._places(coded.dictionary.to_pylist())
-        index = coded.indices.to_numpy(zero_copy_only=False)
-        codes = np.stack([front[index], back[index]], axis=1).ravel()
+        codes = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
         if len(odd):
             whole = self.whole.encode_batch(strange, add_special_tokens=False)
-            codes[2 * offsets[odd]] = [self._add(e.ids) for e in whole]
-        codes = np.insert(codes, 2 * offsets[1:], self._add([end_id]))
+            codes[offsets[odd]] = [self._add(e.ids) for e in whole]
         ends = np.frombuffer(self.ends, dtype=np.int64)
-        sizes = (ends[1:] - ends[:-1])[codes]
-        ids = np.frombuffer(self.ids, dtype=np.int32)[ragged(ends[:-1][codes], sizes)]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        marks = total[2 * offsets + np.arange(len(offsets))]
+        begin = ends[codes]
+        sizes = ends[codes + 1] - begin
+        total = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        close = total[1:] + np.arange(len(offsets) - 1)
+        out = np.empty(int(total[-1]) + len(close), dtype=np.int32)
+        inside = np.ones(len(out), dtype=bool)
+        inside[close] = False
+        out[inside] = np.frombuffer(self.ids, dtype=np.int32)[ragged(begin, sizes)]
+        out[close] = end_id
         del ends  # a live view would keep the arrays from changing
         self._forget()
-        return ids, np.diff(marks)
+        return out, np.diff(np.concatenate([[-1], close]))
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
@@ -203,7 +211,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    return ordered.mapInArrow(encode, FILE_SCHEMA)
+    return ordered.mapInArrow(tidy(encode), FILE_SCHEMA)
 
 
 def write_tokens(

@@ -13,7 +13,7 @@ all labelled documents, anew in each round. A last logistic step turns the
 highest passage's value into a probability for the document.
 
 The classifier is fitted on at most ``max_rows`` labelled rows a class and
-``max_bytes`` of text, chosen by a hash of the id; one task does it. All
+``max_bytes`` of text, half a class, chosen by a hash of the id, long texts last; one task does it. All
 documents are scored, whole, in one pass and without a shuffle.
 
 Defined results: a null or empty text has no passage and gets the score of a
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import chunks, fresh_texts, lower_words, ragged, texts_of
+from textloom.llm.common import chunks, fresh_texts, lower_words, ragged, texts_of, tidy
 
 
 @dataclass(frozen=True)
@@ -136,22 +136,28 @@ def _softmax_round(bags, grams, owners, n_words, y, table, head, bias, config):
     per_bag = np.maximum(np.bincount(bag, minlength=n_bags), 1)[:, None]
     by_gram = np.argsort(grams, kind="stable")
     touched, first = np.unique(grams[by_gram], return_index=True)
-    sums = lambda rows, of, n: np.stack(
-        [np.bincount(of, weights=rows[:, k], minlength=n) for k in range(d)], axis=1
-    )
+
+    def sums(rows, of, n, taken=None):
+        """Sums of ``rows[taken]`` by ``of``, a column at a time, so that no copy of all rows is made."""
+        out = np.empty((n, d))
+        for k in range(d):
+            column = rows[:, k] if taken is None else rows[:, k][taken]
+            out[:, k] = np.bincount(of, weights=column, minlength=n)
+        return out
+
     weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
     seen_table = np.full((len(touched), d), 1e-12)
     seen_head, seen_bias = np.full_like(head, 1e-12), np.full_like(bias, 1e-12)
     for _ in range(config.epochs):
-        words = sums(table[grams], owners, n_words) / per_word
-        x = sums(words[word], bag, n_bags) / per_bag
+        words = sums(table, owners, n_words, grams) / per_word
+        x = sums(words, bag, n_bags, word) / per_bag
         z = x @ head + bias
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         p[np.arange(n_bags), y] -= 1
         p *= weight[:, None]
-        to_words = sums(((p @ head.T) / per_bag)[bag], word, n_words) / per_word
-        to_table = np.add.reduceat(to_words[owners[by_gram]], first, axis=0)
+        to_words = sums((p @ head.T) / per_bag, word, n_words, bag) / per_word
+        to_table = np.stack([np.add.reduceat(to_words[:, k][owners[by_gram]], first) for k in range(d)], axis=1)
         to_table += config.decay * table[touched]
         to_head, to_bias = x.T @ p + config.decay * head, p.sum(axis=0)
         seen_table += to_table**2
@@ -266,13 +272,14 @@ def training_rows(
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
         chosen, F.col("doc_id") == F.col("_id")
     )
-    running = Window.partitionBy("label").orderBy(order, "doc_id", "text").rowsBetween(
+    # Texts of more than a 32nd of the bound come last, so that they cost none but themselves.
+    size, bound = F.octet_length("text"), config.max_bytes // 2
+    long = size > bound // 32
+    running = Window.partitionBy("label").orderBy(long, F.when(long, size), order, "doc_id", "text").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    size = F.sum(F.octet_length("text")).over(running)
-    return found.withColumn("_size", size).filter(F.col("_size") <= config.max_bytes // 2).select(
-        "doc_id", "label", "text"
-    )
+    total = F.sum(size).over(running)
+    return found.withColumn("_size", total).filter(F.col("_size") <= bound).select("doc_id", "label", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, config=ToxicityConfig()) -> ToxicityModel:
@@ -299,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, config=ToxicityConfi
     sample = training_rows(docs, labels, "toxic", usable, config)
     row = (
         sample.coalesce(1)
-        .mapInArrow(run, "value binary, bias double, slope double, shift double")
+        .mapInArrow(tidy(run), "value binary, bias double, slope double, shift double")
         .first()
     )
     value = np.frombuffer(bytes(row["value"]), dtype=np.float32) if row else None
@@ -317,7 +324,7 @@ def scores(docs: DataFrame, model: ToxicityModel) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), values], names=["doc_id", "score"])
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(run, rows.select("doc_id", F.lit(0.0).alias("score")).schema)
+    return rows.mapInArrow(tidy(run), rows.select("doc_id", F.lit(0.0).alias("score")).schema)
 
 
 def harmless(docs: DataFrame, model: ToxicityModel, limit: float = 0.7) -> DataFrame:
@@ -327,4 +334,4 @@ def harmless(docs: DataFrame, model: ToxicityModel, limit: float = 0.7) -> DataF
         for batch in chunks(batches, "text"):
             yield batch.filter(pa.array(score_texts(texts_of(batch), model) < limit))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -1,7 +1,7 @@
 """WARC archives: writing with revisits, reading by boundary-chain verification.
 
-Reading. Archives are cut at every place where the version line stands, in
-parallel and whatever is around it, so a version line inside a payload is cut
+Reading, of WARC 1.0 and 1.1. Archives are cut at every place where a version line
+may stand, in parallel and whatever is around it, so a version line inside a payload is cut
 as well. Each piece whose header can be read is a candidate record; its
 ``Content-Length`` tells where its successor must start. Pieces whose
 successor is the very next piece form runs; a run is left at its last piece
@@ -22,8 +22,9 @@ Defined results: a null payload is empty; a null id is written as an empty id
 and read as null, and refers to a response like any other; rows with the
 largest id of equal payloads are all responses; line ends inside a URL are
 percent-encoded, a null URL is left out; an empty table gives archives without
-records; other columns are ignored. A file that doesn't begin with a version
-line has no chain and gives no records.
+records; other columns are ignored. A file that begins with the line of another
+version is an error; one that begins with no version line has no chain and gives
+no records.
 """
 
 from __future__ import annotations
@@ -42,8 +43,10 @@ END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-_MAGIC = VERSION + END
 _BLANK = END + END
+# What the version lines that are read begin with, and how they end.
+_MAGIC = "WARC/1."
+_KNOWN = ("0" + END, "1" + END)
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -83,7 +86,7 @@ def records(pages: DataFrame, revisit_from: int, date: str) -> DataFrame:
     )
     block = F.when(revisit, http).otherwise(F.concat(http, F.col("html")))
     text = F.concat(
-        F.lit(_MAGIC),
+        F.lit(VERSION + END),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", name(F.col("page_id"))),
         line("WARC-Date", F.lit(date)),
@@ -237,16 +240,23 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         pieces.withColumn("header", F.substring_index("piece", _BLANK, 1))
         .withColumn("bytes", _bytes_of(F.col("piece")))
         .withColumn("head", _bytes_of(head) + len(_BLANK))
+        .withColumn("known", F.substring("piece", 1, 3).isin(*_KNOWN))
+        .withColumn("strange", F.col("piece").startswith("WARC/"))
         .withColumns({c: _field(head, f) for c, f in _FIELDS.items()})
         .withColumn("length", _field(head, "Content-Length"))
         .withColumn("length", F.expr("try_cast(length as bigint)"))
-        .withColumn("length", F.when((F.col("head") <= F.col("bytes")) & (length >= 0), length))
+        .withColumn("length", F.when(F.col("known") & (F.col("head") <= F.col("bytes")) & (length >= 0), length))
         .withColumn("whole", F.col("head") + length <= F.col("bytes"))
         .withColumn("body", F.substring(F.col("piece").cast("binary"), start, length.cast("int")))
         .withColumn("body", F.when(F.col("whole"), F.col("body")))
         .drop("piece", "header")
     )
     chain = written(_chain(written(_with_payload(facts), "warc-pieces")), "warc-chain")
+    # Only a file's own first line is sure to be a version line.
+    first = (F.col("at") == len(_MAGIC)) & ~F.col("known") | (F.col("at") == 0) & F.col("strange")
+    strange = chain.filter(first).select("file").first()
+    if strange is not None:
+        raise ValueError(f"unknown version line at the start of {strange['file']}")
     found = chain.filter("visited and whole")
     parted = chain.filter("visited and not whole")
     if not parted.isEmpty():
