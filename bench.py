@@ -51,7 +51,8 @@ def steps(spark: SparkSession, sf: str):
 
     def ranked():
         rows = catalog_answers.with_hash_logits(built["rows"])
-        return answers.n_best(rows, rows.select("qas_id").distinct(), answers.AnswerConfig(negatives=True))
+        examples = built["rows"].select("qas_id").distinct()
+        return answers.n_best(rows, examples, answers.AnswerConfig(negatives=True), built["rows"])
 
     def tagged():
         return datasets.tagged_dataset(

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import sys
+import types
+import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions import arrays as A
+from textloom.functions.exact import exact_mean, exact_sum
 
 
 def score(
@@ -41,6 +47,92 @@ def score(
     return features.select(*columns).mapInPandas(run, schema)
 
 
+#: Rows that are sorted by length at once.
+SORTED_ROWS = 10_000
+
+
+def worker_model(name: str, load: Callable[[], Callable]) -> tuple[Callable, int]:
+    """The model of this worker process and how often it was loaded here (once).
+
+    Functions reach the workers by value, so the model is kept in a module of
+    its own that lives as long as the process.
+    """
+    kept = sys.modules.setdefault("_textloom_models", types.ModuleType("_textloom_models"))
+    if name not in kept.__dict__:
+        kept.__dict__[name] = [load(), 0]
+        kept.__dict__[name][1] += 1
+    return tuple(kept.__dict__[name])
+
+
+def _by_length(sizes: np.ndarray, max_tokens: int) -> list[np.ndarray]:
+    """Rows of similar length together: each batch times its longest row is ``max_tokens`` at most."""
+    order, parts, start = np.argsort(sizes, kind="stable"), [], 0
+    for k in range(len(order)):
+        if k > start and (k - start + 1) * sizes[order[k]] > max_tokens:
+            parts.append(order[start:k])
+            start = k
+    return [*parts, order[start:]] if len(order) else []
+
+
+def score_by_length(
+    features: DataFrame,
+    keys: list[str],
+    inputs: list[str],
+    load: Callable[[], Callable[[pd.DataFrame, int], pd.DataFrame]],
+    outputs: T.StructType,
+    length: Column,
+    max_tokens: int = 16_384,
+    report: bool = False,
+) -> DataFrame:
+    """Run a model that each worker process loads once, in batches of similar lengths.
+
+    ``load`` makes the model, a function of a batch's ``inputs`` and the tokens of
+    its longest row. ``length`` counts a row's real tokens; a batch holds at
+    most ``max_tokens`` with padding, a longer row is a batch of its own.
+    ``report`` adds ``tokens``, ``padded`` (what the row takes in its batch),
+    ``worker`` and ``loads``.
+    """
+    name = f"model-{uuid.uuid4().hex}"
+    names = [f.name for f in outputs.fields]
+    rows = features.select(*dict.fromkeys(keys + inputs), length.cast("int").alias("_tokens"))
+    schema = T.StructType([rows.schema[k] for k in keys] + list(outputs.fields))
+    if report:
+        for column in ("tokens", "padded", "worker", "loads"):
+            schema = schema.add(column, T.LongType())
+
+    def run(frames):
+        model, loads = worker_model(name, load)
+        for frame in frames:
+            for begin in range(0, len(frame), SORTED_ROWS):
+                block = frame.iloc[begin : begin + SORTED_ROWS].reset_index(drop=True)
+                sizes = block["_tokens"].fillna(0).to_numpy(dtype=np.int64)
+                for part in _by_length(sizes, max_tokens):
+                    batch = block.iloc[part].reset_index(drop=True)
+                    longest = int(sizes[part].max())
+                    scored = model(batch[inputs], longest)
+                    if len(scored) != len(batch):
+                        raise ValueError("scorer must return one row per input row")
+                    out = pd.concat([batch[keys], scored[names].reset_index(drop=True)], axis=1)
+                    if report:
+                        out["tokens"], out["padded"] = sizes[part], longest
+                        out["worker"], out["loads"] = os.getpid(), loads
+                    yield out
+
+    return rows.mapInPandas(run, schema)
+
+
+def padding_report(scored: DataFrame) -> DataFrame:
+    """Workers, model loads and the share of padding in all that was computed."""
+    per_worker = scored.groupBy("worker").agg(
+        F.max("loads").alias("loads"), F.sum("tokens").alias("tokens"), F.sum("padded").alias("padded")
+    )
+    return per_worker.agg(
+        F.count("*").alias("workers"),
+        F.sum("loads").alias("loads"),
+        (1 - F.sum("tokens") / F.sum("padded")).alias("padding_share"),
+    )
+
+
 def join_scores(features: DataFrame, scores: DataFrame, key: str = "unique_id") -> DataFrame:
     return features.join(scores, key)
 
@@ -50,10 +142,10 @@ def unscored(features: DataFrame, scores: DataFrame, key: str = "unique_id") ->
 
 
 def classification_metrics(scored: DataFrame, logits: str, label: str) -> DataFrame:
-    """Accuracy of the first-max class and mean cross-entropy."""
+    """Accuracy of the first-max class and mean cross-entropy, the same for any partitioning."""
     hit = (A.argmax(F.col(logits)) == F.col(label)).cast("double")
     loss = A.cross_entropy(F.col(logits), F.col(label))
-    return scored.agg(F.avg(hit).alias("eval_accuracy"), F.avg(loss).alias("eval_loss"))
+    return scored.agg(exact_mean(hit).alias("eval_accuracy"), exact_mean(loss).alias("eval_loss"))
 
 
 def masked_metrics(slots: DataFrame) -> DataFrame:
@@ -61,9 +153,9 @@ def masked_metrics(slots: DataFrame) -> DataFrame:
 
     Padding slots weigh 0; metrics over nothing are 0.
     """
-    weight = F.sum("weight")
-    hit = F.sum(F.col("weight") * (F.col("prediction") == F.col("label")).cast("double"))
-    loss = F.sum(F.col("weight") * F.col("loss"))
+    weight = exact_sum(F.col("weight"))
+    hit = exact_sum(F.col("weight") * (F.col("prediction") == F.col("label")).cast("double"))
+    loss = exact_sum(F.col("weight") * F.col("loss"))
 
     def ratio(x: Column) -> Column:
         return F.when(weight > 0, x / weight).otherwise(0.0)
@@ -95,7 +187,7 @@ def span_loss(scored: DataFrame) -> DataFrame:
     """Mean of start and end cross-entropy over windows."""
     start = A.cross_entropy(F.col("start_logits"), F.col("start_position"))
     end = A.cross_entropy(F.col("end_logits"), F.col("end_position"))
-    return scored.agg(((F.avg(start) + F.avg(end)) / 2).alias("span_loss"))
+    return scored.agg(((exact_mean(start) + exact_mean(end)) / 2).alias("span_loss"))
 
 
 def metric_lines(metrics: DataFrame) -> DataFrame:

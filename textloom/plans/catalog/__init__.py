@@ -7,6 +7,7 @@ from textloom.plans.catalog import (  # noqa: F401
     files,
     normalise,
     pretraining,
+    runs,
     scored,
     tables,
     windows,

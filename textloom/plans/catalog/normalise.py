@@ -32,6 +32,34 @@ def cjk(spark, sf):
     return _docs(spark, sf, X.space_cjk(F.col("text")))
 
 
+# The tables hold neither invalid bytes, control characters nor ideographs, so these put some in.
+@query("txt01_invalid_bytes", "SELECT doc_id, md5(source || text || lang || 'é') AS digest FROM documents")
+def invalid_bytes(spark, sf):
+    """A lone continuation byte, a cut sequence, a surrogate and an over-long form between valid bytes."""
+    raw = lambda c: F.col(c).cast("binary")
+    mixed = F.concat(F.unhex(F.lit("80")), raw("source"), F.unhex(F.lit("E282")), raw("text"), F.unhex(F.lit("EDA080")), raw("lang"), F.unhex(F.lit("C0AFC3A9FF")))
+    return table(spark, sf, "documents").select("doc_id", F.md5(X.utf8_text(mixed)).alias("digest"))
+
+
+_MARKED = "chr(1) || replace(text, 'a', chr(11)) || chr(9) || lang || chr(8203) || source || chr(160) || 'x' || chr(173) || chr(13) || chr(65533)"
+
+
+@query("txt02_control_characters", _digest_sql(Q.clean(f"({_MARKED})")))
+def control_characters(spark, sf):
+    chars = {k: F.lit(chr(k)) for k in (1, 9, 13, 160, 173, 8203, 65533)}
+    marked = F.concat(
+        chars[1], F.translate("text", "a", chr(11)), chars[9], F.col("lang"), chars[8203], F.col("source"),
+        chars[160], F.lit("x"), chars[173], chars[13], chars[65533],
+    )
+    return _docs(spark, sf, X.clean(marked))
+
+
+@query("txt03_ideographs", _digest_sql(Q.space_cjk("translate(text, 'eno', '中가㐀')")))
+def ideographs(spark, sf):
+    """Two letters become ideographs and one a Hangul syllable, which is none."""
+    return _docs(spark, sf, X.space_cjk(F.translate("text", "eno", "中가㐀")))
+
+
 @query("txt04_lower", _digest_sql("lower(text)"))
 def lower(spark, sf):
     return _docs(spark, sf, F.lower("text"))

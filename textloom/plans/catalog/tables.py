@@ -34,6 +34,16 @@ def non_empty(spark, sf):
     return has_text(tagged_documents(spark, sf)).select("doc_id")
 
 
+@query("src10_empty_texts", "SELECT doc_id FROM documents WHERE n_chars % 3 <> 0")
+def empty_texts(spark, sf):
+    """A third of the texts is empty, a third missing; missing ones stay."""
+    kind = F.col("n_chars") % 3
+    text = F.when(kind == 0, "").when(kind == 1, F.col("text"))
+    rows = table(spark, sf, "documents").select("doc_id", text.alias("text"))
+    listed = rows.select("doc_id", F.when(F.col("text").isNotNull(), F.array(F.lit("a"), "text")).alias("text"))
+    return has_text(rows).join(has_text(listed), "doc_id").select("doc_id")
+
+
 @query(
     "src11_decode_features",
     """SELECT vec_id, array_to_string(list_transform(embedding, lambda e: round(e::DOUBLE * 1000)::BIGINT), ' ') AS input_ids,
