@@ -157,6 +157,36 @@ def acceptability_files(spark, sf):
     return found.groupBy(F.substring_index("guid", "-", 1).alias("split"), F.md5("text_a").alias("text_a"), "label").agg(F.count("*").alias("n"))
 
 
+def _read_turns(spark, path, split):
+    """A reader of one's own: ``role: text`` lines, the role as label."""
+    parts = F.split("value", ": ", 2)
+    lines = R.read_lines(spark, path)
+    return lines.select(
+        F.concat_ws("-", F.lit(split), "line_no").alias("guid"),
+        F.get(parts, F.lit(1)).alias("text_a"),
+        F.lit(None).cast("string").alias("text_b"),
+        F.get(parts, F.lit(0)).alias("label"),
+    )
+
+
+TURNS = Y.DatasetSpec(("assistant", "system", "user"), {"train": None}, _read_turns)
+
+
+@query(
+    "hook_plugged_layout",
+    f"""SELECT md5({_FLAT}) AS text_a, role AS label,
+ CASE role WHEN 'assistant' THEN 0 WHEN 'system' THEN 1 ELSE 2 END AS label_ids, count(*) AS n FROM conversations GROUP BY ALL""",
+)
+def plugged_layout(spark, sf):
+    """A layout that is registered by name, with its reader and labels."""
+    if "turns" not in Y.SPECS:
+        Y.register("turns", TURNS)
+    path = new_folder(spark, "turns")
+    table(spark, sf, "conversations").select(F.concat("role", F.lit(": "), _flat())).write.text(path)
+    rows = S.attach_label_ids(Y.read_examples(spark, "turns", "train", path), Y.labels_of(spark, "turns"))
+    return rows.groupBy(F.md5("text_a").alias("text_a"), "label", "label_ids").agg(F.count("*").alias("n"))
+
+
 _LATIN = r"regexp_replace(text, '[^\x20-\x7E\xA1-\xFF]', '', 'g')"
 
 

@@ -151,6 +151,13 @@ SPECS = {
 }
 
 
+def register(name: str, added: DatasetSpec) -> None:
+    """Add a layout of one's own; its name must be new."""
+    if name in SPECS:
+        raise ValueError(f"dataset layout {name} exists already")
+    SPECS[name] = added
+
+
 def spec(name: str) -> DatasetSpec:
     if name not in SPECS:
         raise ValueError(f"unknown dataset layout: {name}")
