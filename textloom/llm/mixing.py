@@ -135,22 +135,25 @@ def mixed(
 
     Rows alike in id, source and size take as many copies as the first of them.
     """
+    own = "__mix"  # names that no column of ``docs`` has
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own += "_"
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)).cast("long")
     plan = mix_plan(docs, weights, most, seed, key)
     taken = (
         plan.groupBy(
-            F.col(key).alias("__mix_key"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size")
+            F.col(key).alias(f"{own}_key"), F.col("source").alias(f"{own}_source"), F.col("size").alias(f"{own}_size")
         )
-        .agg(F.max("copies").cast("int").alias("__mix_copies"))
-        .filter("__mix_copies > 0")
+        .agg(F.max("copies").cast("int").alias(f"{own}_copies"))
+        .filter(f"`{own}_copies` > 0")
     )
     same = (
-        F.col(key).eqNullSafe(F.col("__mix_key"))
-        & F.col("source").eqNullSafe(F.col("__mix_source"))
-        & (size == F.col("__mix_size"))
+        F.col(key).eqNullSafe(F.col(f"{own}_key"))
+        & F.col("source").eqNullSafe(F.col(f"{own}_source"))
+        & (size == F.col(f"{own}_size"))
     )
     return (
         docs.join(taken, same)
-        .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
+        .withColumn(f"{own}_copy", F.explode(F.sequence(F.lit(1), F.col(f"{own}_copies"))))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
