@@ -52,7 +52,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read again."""
+    """All stages over ``documents``, each written as Parquet and read again.
+
+    Defined cases: null and empty texts are harmless, near nothing and leak
+    nothing; as they have no words, the mix takes one as often as its source's
+    turn comes. Of repeated rows, exact ones included, the near-duplicate
+    stage keeps one. Null ids, sources and languages pass; a source without
+    words has no target. Without labels nothing is toxic, without benchmark items
+    nothing leaks. An empty table gives no rows. Columns beyond those of ``documents`` are carried
+    up to the last stage, whatever their names, and play no part.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
