@@ -82,3 +82,23 @@ def test_softmax_and_ranking(spark):
     assert abs(sum(rows[0].p) - 1) < 1e-12
     assert rows[0].b == [1, 2, 3] and rows[0].m == 1
     assert rows[1].p == [] and rows[1].b == []
+
+
+def test_a_text_is_cleaned_once(spark):
+    df = spark.createDataFrame([("a",)], "t string")
+    for tokens in (X.basic_tokens(F.col("t")), X.unit_tokens(F.col("t"))):
+        plan = df.select(tokens.alias("v"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count("\\x{FFFD}") == 1
+
+
+def test_words_of_normalised_texts_end_at_any_space(spark):
+    spaces = " \t\x0b\x1c\x85  　\r"
+    df = spark.createDataFrame([("a" + "b".join(spaces) + "É\n c  d\n",), (None,), ("",), ("\nṩx",)], "t string")
+    rows = df.select(
+        X.basic_tokens(F.col("t")).alias("got"),
+        X.words_of(X.basic_text(F.col("t"))).alias("want"),
+        X.unit_tokens(F.col("t")).alias("units"),
+    ).collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert [(u.unit, u.word) for u in rows[0].units][-3:] == [(0, "e"), (1, "c"), (1, "d")]
+    assert rows[1].units is None and rows[3].got == ["sx"]
