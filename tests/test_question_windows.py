@@ -235,3 +235,30 @@ def test_question_without_candidates(spark, qa_vocab):
     assert [r.text for r in ranked.collect()] == [""]
     final = N.predictions(ranked, N.null_scores(scored)).first()
     assert final.text == "" and final.score_diff is None
+
+
+def test_windows_with_some_arrays_equal_whole_ones(paragraphs, qa_vocab):
+    cfg = W.WindowConfig(max_length=9, stride=3, negatives=True)
+    whole = W.question_windows(paragraphs, qa_vocab, cfg)
+    for lists in [(), ("input_ids", "segment_ids"), ("words", "tokens"), ("token_words", "input_mask")]:
+        some = W.question_windows(paragraphs, qa_vocab, cfg, lists=lists)
+        assert set(some.columns) == set(whole.columns) - (set(W.LISTS) - set(lists))
+        rows = lambda df: df.select(*some.columns).orderBy("unique_id").collect()
+        assert rows(some) == rows(whole)
+
+
+def test_answers_read_in_paragraphs_equal_those_read_in_windows(paragraphs, qa_vocab):
+    cfg = W.WindowConfig(max_length=9, stride=3, negatives=True)
+    score = lambda k: F.transform(F.sequence(F.lit(0), F.lit(8)), lambda p: (F.col("unique_id") * k + p * 5 % 7).cast("double") % 11)
+    scored = lambda rows: rows.withColumns({"start_logits": score(3), "end_logits": score(2)})
+    encoded = W.encode_examples(paragraphs, cfg, qa_vocab)
+    whole = scored(W.question_windows(paragraphs, qa_vocab, cfg))
+    bare = scored(W.question_windows(paragraphs, qa_vocab, cfg, lists=()))
+    plain = N.AnswerConfig(n_best=3)
+    texts = N.candidates(whole, plain)
+    read = N.candidates(bare, plain, encoded).select(*texts.columns)
+    assert sorted(map(tuple, texts.collect())) == sorted(map(tuple, read.collect())) != []
+    examples = whole.select("qas_id").distinct()
+    for wanted in (plain, N.AnswerConfig(n_best=3, negatives=True)):
+        listed = N.n_best(whole, examples, wanted).collect()
+        assert sorted(map(tuple, listed)) == sorted(map(tuple, N.n_best(bare, examples, wanted, paragraphs=encoded).collect()))
