@@ -258,3 +258,40 @@ def test_answers_read_in_paragraphs_equal_those_read_in_windows(paragraphs, qa_v
     texts = N.candidates(whole, plain)
     read = N.candidates(bare, plain, encoded).select(*texts.columns)
     assert sorted(map(tuple, texts.collect())) == sorted(map(tuple, read.collect())) != []
+
+
+def test_kept_examples_hold_no_texts_and_give_them_again(paragraphs, qa_vocab, monkeypatch):
+    encoded = W.encode_examples(paragraphs, W.WindowConfig(max_length=9, stride=3, negatives=True), qa_vocab)
+    kept = W.kept_examples(encoded)
+    assert not {"words", "pieces"} & set(kept.columns)
+    rows = lambda df: sorted(map(tuple, df.select("context_id", "pieces", "piece_units").collect()))
+    assert rows(W.spelled(kept, qa_vocab)) == rows(encoded)
+    lines = W.paragraph_texts(kept, paragraphs, qa_vocab)
+    whole = encoded.withColumns({c: F.array_join(c, "\n") for c in ("words", "pieces")})
+    same = lambda df: sorted(map(tuple, df.select("context_id", "words", "pieces", "piece_units").collect()))
+    assert same(lines) == same(whole)
+    # A vocabulary beyond the checked size is joined.
+    monkeypatch.setattr(W, "compiled", lambda *args, **kw: None)
+    assert rows(W.spelled(kept, qa_vocab)) == rows(encoded)
+
+
+def test_paragraphs_stay_where_they_are_for_windows_without_arrays(paragraphs, qa_vocab, monkeypatch):
+    monkeypatch.setattr(W, "broadcast_if_small", lambda df: df.hint("merge"))
+    cfg = W.WindowConfig(max_length=9, stride=3, negatives=True)
+    bare = W.question_windows(paragraphs, qa_vocab, cfg, lists=())
+    plan = bare._jdf.queryExecution().executedPlan().toString()
+    moved = plan.split("Exchange hashpartitioning")[1:]
+    assert len(moved) == 2 and not any("piece_units" in part.split("\n")[0] for part in moved)
+    # Cut first and numbered after: the shuffle's rows come from the windows, not from the paragraphs.
+    assert plan.index("Exchange hashpartitioning") < plan.index("MapInArrow")
+
+
+def test_pairs_move_without_the_columns_a_reader_leaves_out(paragraphs, qa_vocab):
+    cfg = W.WindowConfig(max_length=9, stride=3, negatives=True)
+    score = F.transform(F.sequence(F.lit(0), F.lit(8)), lambda p: (p * 5 % 7).cast("double"))
+    bare = W.question_windows(paragraphs, qa_vocab, cfg, lists=()).withColumns({"start_logits": score, "end_logits": score})
+    texts = W.encode_examples(paragraphs, cfg, qa_vocab)
+    whole = N.candidates(bare, N.AnswerConfig(), texts)
+    some = N.candidates(bare, N.AnswerConfig(), texts, without=["start_rank", "end_logit"])
+    assert set(some.columns) == set(whole.columns) - {"start_rank", "end_logit"}
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, whole.select(*some.columns).collect())) != []
