@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import QA_SCHEMA
+from textloom.operators import answers as N
 from textloom.operators import packed as K
 from textloom.operators import windows as W
 from textloom.plans.catalog import windows as CW
@@ -67,3 +68,48 @@ def test_packed_columns_come_back(spark):
     df = spark.createDataFrame([(1, "ab\nç", [0, 0, 3, -1]), (2, "", []), (3, None, None)], "k int, t string, u array<int>")
     got = {r.k: (K.unpacked(bytes(r.t)).decode(), K.unpacked_numbers(bytes(r.u)).tolist()) for r in K.packed(df, ["t", "u"]).collect()}
     assert got == {1: ("ab\nç", [0, 0, 3, -1]), 2: ("", []), 3: ("", [])}
+
+
+def _scored(rows):
+    score = lambda k: F.transform(F.sequence(F.lit(0), F.lit(11)), lambda p: (F.col("unique_id") * k + p * 5 % 7).cast("double") % 11)
+    return rows.withColumns({"start_logits": score(3), "end_logits": score(2)})
+
+
+@pytest.mark.parametrize("pack", [False, True])
+def test_best_pairs_of_a_question_are_its_first_ones(paragraphs, vocab, pack):
+    encoded = W.kept_examples(W.encode_examples(paragraphs, CFG, vocab))
+    bare = _scored(W.question_windows(paragraphs, vocab, CFG, lists=()))
+    texts = W.paragraph_texts(encoded, paragraphs, vocab, pack=pack)
+    cfg = N.AnswerConfig(n_best=6)
+    every = [r.asDict() for r in N.candidates(bare, cfg, texts).collect()]
+    order = lambda r: (-(r["start_logit"] + r["end_logit"]), r["window_no"], r["start_rank"], r["end_rank"])
+    got = {r.qas_id: r for r in N.with_paragraph_texts(N.candidate_pairs(bare, cfg, 4), texts, 3).collect()}
+    assert len(got) > 1
+    for name in {r["qas_id"] for r in every}:
+        own = sorted((r for r in every if r["qas_id"] == name), key=order)
+        assert [order(p) for p in got[name].pairs] == [order(r) for r in own[:3]]
+        assert [p.original for p in got[name].pairs] == [r["original"] for r in own[:3]]
+        assert got[name].more == (len(own) > 3)
+
+
+@pytest.mark.parametrize("negatives", [False, True])
+def test_answers_from_paragraphs_equal_those_from_windows(paragraphs, vocab, negatives, monkeypatch):
+    monkeypatch.setattr(N, "OVERHANG", 0)  # so that equal texts make it go on
+    whole = _scored(W.question_windows(paragraphs, vocab, CFG))
+    bare = _scored(W.question_windows(paragraphs, vocab, CFG, lists=()))
+    texts = W.paragraph_texts(W.kept_examples(W.encode_examples(paragraphs, CFG, vocab)), paragraphs, vocab, pack=True)
+    cfg = N.AnswerConfig(n_best=9, negatives=negatives)
+    examples = W.questions(paragraphs, CFG).select("qas_id")
+    plain, read = N.n_best(whole, examples, cfg), N.n_best(bare, examples, cfg, paragraphs=texts)
+    assert _rows(plain) == _rows(read) != []
+    assert {r.qas_id for r in read.collect()} == {"c-0", "c-1", "d-0", "e-0", "e-1", "f-0"}
+
+
+def test_null_scores_sort_no_arrays(paragraphs, vocab):
+    bare = _scored(W.question_windows(paragraphs, vocab, CFG, lists=()))
+    node = N.null_scores(bare)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Aggregate":
+        node = node.children().head()
+    sorted_ = node.children().head().output()
+    assert [sorted_.apply(k).name() for k in range(sorted_.size())] == ["qas_id", "pair"]
+    assert _rows(N.null_scores(bare)) != []
