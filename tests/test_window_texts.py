@@ -64,6 +64,12 @@ def test_question_texts_are_made_once(spark):
     assert _rows(found) == [("1-0",), ("1-1",)]
 
 
+def test_a_paragraph_without_questions_is_no_question(spark):
+    rows = [("a", "the man", []), ("b", "the man", [("q", "the", False, [("man", 4)])]), ("c", "the", None)]
+    found = W.recoverable(W.questions(spark.createDataFrame(rows, QA_SCHEMA), CFG))
+    assert _rows(found, "qas_id", "start_word") == [("q", 1)]
+
+
 def test_packed_columns_come_back(spark):
     df = spark.createDataFrame([(1, "ab\nç", [0, 0, 3, -1]), (2, "", []), (3, None, None)], "k int, t string, u array<int>")
     got = {r.k: (K.unpacked(bytes(r.t)).decode(), K.unpacked_numbers(bytes(r.u)).tolist()) for r in K.packed(df, ["t", "u"]).collect()}
