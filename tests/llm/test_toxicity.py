@@ -1,5 +1,7 @@
 """The toxicity classifier: held-out accuracy and edge cases."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -86,3 +88,16 @@ def test_a_long_labelled_text_costs_only_itself(spark):
     assert {r.doc_id for r in sample} == set(range(30))
     one = T.training_rows(docs, labels, "toxic", F.lit(True), T.ToxicityConfig(max_bytes=70_000)).collect()
     assert {r.doc_id for r in one} >= set(range(30)) and len(one) == 31
+
+
+def test_training_holds_few_bytes_for_each_gram():
+    letters, random = np.array(list("abcdefghij")), np.random.default_rng(1)
+    words = ["".join(letters[random.integers(0, 10, 8)]) for _ in range(60_000)]
+    texts = pa.array([" ".join(words[k : k + 60]) for k in range(0, len(words), 60)], pa.large_string())
+    config = T.ToxicityConfig(buckets=1 << 12, rounds=1, epochs=1)
+    grams = len(T.subwords(pa.array(words, pa.large_string()), config)[0])
+    tracemalloc.start()
+    T.train(texts, np.arange(len(texts)) % 2, config)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 26 * grams

@@ -37,6 +37,10 @@ from pyspark.sql import functions as F
 from textloom.llm.common import chunks, fresh_texts, lower_words, ragged, texts_of, tidy
 
 
+#: Numbers that are worked on at once where there are millions.
+SLICE = 1 << 18
+
+
 @dataclass(frozen=True)
 class ToxicityConfig:
     max_rows: int = 4000
@@ -76,8 +80,12 @@ def subwords(words: pa.Array, config: ToxicityConfig) -> tuple[np.ndarray, np.nd
         marked.offset : marked.offset + len(marked) + 1
     ]
     begin, size = ends[:-1], np.diff(ends)
-    own = np.arange(len(words), dtype=np.int64)
-    grams, owners = [np.zeros(0, dtype=np.int64)], [own[:0]]
+    own = np.arange(len(words), dtype=np.int32)
+    lengths = range(config.shortest, config.longest + 1)
+    # 32 bits a number, in their place at once: a sample of 24 MB has some 14 million n-grams.
+    n_grams = sum(int(np.maximum(size - n + 1, 0).sum()) for n in lengths)
+    grams, owners = np.empty(n_grams, dtype=np.int32), np.empty(n_grams, dtype=np.int32)
+    filled = 0
     rolled = np.zeros(len(raw), dtype=np.uint32)
     with np.errstate(over="ignore"):
         for n in range(1, config.longest + 1):
@@ -89,15 +97,31 @@ def subwords(words: pa.Array, config: ToxicityConfig) -> tuple[np.ndarray, np.nd
             at = rolled[ragged(begin, many)] ^ np.uint32(0x9E3779B9 * n & 0xFFFFFFFF)
             at *= np.uint32(0x85EBCA6B)
             at ^= at >> np.uint32(15)
-            grams.append((at % np.uint32(config.buckets)).astype(np.int64))
-            owners.append(np.repeat(own, many))
-    return np.concatenate(grams), np.concatenate(owners)
+            at %= np.uint32(config.buckets)
+            grams[filled : filled + len(at)], owners[filled : filled + len(at)] = at, np.repeat(own, many)
+            filled += len(at)
+    return grams, owners
+
+
+def taken_sums(values: np.ndarray, taken: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
+    """Sums of ``values[taken]`` by ``of``, in row order; only a slice of the rows is spelled out at a time."""
+    out = np.zeros(n)
+    for k in range(0, len(of), SLICE):
+        np.add.at(out, of[k : k + SLICE], values[taken[k : k + SLICE]].astype(np.float64))
+    return out
+
+
+def counts_of(of: np.ndarray, n: int) -> np.ndarray:
+    """How often each number below ``n`` occurs, without a copy of all of them."""
+    out = np.zeros(n, dtype=np.int64)
+    for k in range(0, len(of), SLICE):
+        out += np.bincount(of[k : k + SLICE], minlength=n)
+    return out
 
 
 def word_means(value: np.ndarray, grams: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
     """Mean of ``value`` over the n-grams of each of ``n`` words."""
-    total = np.bincount(owners, weights=value[grams], minlength=n)
-    return total / np.maximum(np.bincount(owners, minlength=n), 1)
+    return taken_sums(value, grams, owners, n) / np.maximum(counts_of(owners, n), 1)
 
 
 def highest_passages(
@@ -108,23 +132,29 @@ def highest_passages(
     A shorter text is one passage; a text without words has mean 0.
     """
     sizes = np.diff(starts)
-    sums = np.concatenate([[0.0], np.cumsum(per_word)])
+    sums = np.zeros(len(per_word) + 1)
+    np.cumsum(per_word, out=sums[1:])
     long = sizes > width
     best = np.zeros(len(sizes))
     at = starts[:-1].copy()
     short = ~long & (sizes > 0)
     best[short] = (sums[starts[1:][short]] - sums[starts[:-1][short]]) / sizes[short]
-    if long.any():
-        places = np.maximum(sizes - width + 1, 0) * long
-        begin = ragged(starts[:-1], places)
+    # Whole texts of about SLICE places at a time.
+    texts = np.flatnonzero(long)
+    block = np.cumsum(sizes[texts]) // SLICE
+    for some in np.split(texts, np.flatnonzero(np.diff(block)) + 1):
+        if not len(some):
+            continue
+        places = sizes[some] - width + 1
+        begin = ragged(starts[:-1][some], places)
         means = (sums[begin + width] - sums[begin]) / width
-        first = (np.cumsum(places) - places)[long]
+        first = np.cumsum(places) - places
         top = np.maximum.reduceat(means, first)
-        best[long] = top
-        hits = np.flatnonzero(means == np.repeat(top, places[long]))
+        best[some] = top
+        hits = np.flatnonzero(means == np.repeat(top, places))
         text = np.searchsorted(first, hits, side="right") - 1
         _, earliest = np.unique(text, return_index=True)
-        at[long] = begin[hits[earliest]]
+        at[some] = begin[hits[earliest]]
     return best, at
 
 
@@ -178,16 +208,14 @@ def train(texts: pa.Array, y: np.ndarray, config: ToxicityConfig) -> ToxicityMod
         return ToxicityModel(none, 0.0, 0.0, float(np.log(share / (1 - share))), config)
     words, starts = lower_words(texts)
     coded = words.dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    n_words = len(coded.dictionary)
+    code, n_words = coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary)
     grams, owners = subwords(coded.dictionary, config)
-    text_of = np.repeat(np.arange(len(y)), np.diff(starts))
-    once = np.unique(text_of * n_words + code)
-    label = y[once // n_words]
-    toxic = np.bincount(once % n_words, weights=label, minlength=n_words)
-    clean = np.bincount(once % n_words, weights=1 - label, minlength=n_words)
+    del texts, words, coded
+    toxic, clean = np.zeros(n_words), np.zeros(n_words)
+    for a, b, one in zip(starts, starts[1:], y):
+        (toxic if one else clean)[np.unique(code[a:b])] += 1
     # Where to look first: passages rich in n-grams that label 1 has more often.
-    of_gram = lambda n: np.bincount(grams, weights=n[owners], minlength=config.buckets)
+    of_gram = lambda n: taken_sums(n, owners, grams, config.buckets)
     value = np.log((of_gram(toxic) + config.prior) / y.sum()) - np.log(
         (of_gram(clean) + config.prior) / (1 - y).sum()
     )
@@ -210,9 +238,10 @@ def train(texts: pa.Array, y: np.ndarray, config: ToxicityConfig) -> ToxicityMod
         chosen = code[ragged(begin, many)]
         bag = np.repeat(np.arange(len(begin)), many)
         used, word = np.unique(chosen, return_inverse=True)
-        new = np.full(n_words, -1)
+        new = np.full(n_words, -1, dtype=np.int32)
         new[used] = np.arange(len(used))
-        mine = (new[owners] >= 0) & ~rare[grams]
+        slices = (slice(k, k + SLICE) for k in range(0, len(grams), SLICE))
+        mine = np.concatenate([np.flatnonzero((new[owners[s]] >= 0) & ~rare[grams[s]]) + s.start for s in slices] or [new[:0]])
         _softmax_round(
             (word, bag), grams[mine], new[owners[mine]], len(used), labels, table, head, bias, config
         )
@@ -292,8 +321,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, config=ToxicityConfi
             model = train(pa.array([], pa.large_string()), np.zeros(0), config)
         else:
             table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-            texts = fresh_texts(table["text"])
-            model = train(texts, table["label"].to_numpy(), config)
+            texts, y = fresh_texts(table["text"]), table["label"].to_numpy()
+            del rows, table
+            model = train(texts, y, config)
         yield pa.RecordBatch.from_pydict(
             {
                 "value": pa.array([model.value.tobytes()], pa.binary()),
