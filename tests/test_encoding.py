@@ -145,3 +145,49 @@ def test_feature_width_is_checked(spark):
     assert S.decode_features(df, {"input_ids": 2}).first()[0] == [1, 2]
     with pytest.raises(Exception, match="wrong length"):
         S.decode_features(df, {"input_ids": 3}).collect()
+
+
+def _texts(spark):
+    rows = [(1, "Want unwanted\nrunning,  wa\n\nunwanted want"), (2, None), (3, ""), (4, "\n"), (5, "want un 　wa"), (5, "un")]
+    return spark.createDataFrame(rows, "id int, t string")
+
+
+@pytest.mark.parametrize("by_word", [False, True])
+@pytest.mark.parametrize("most", [500_000, 3])
+def test_texts_are_encoded_as_their_words_are(spark, small_vocab, by_word, most):
+    docs = _texts(spark).filter("t is null or t <> 'un'")
+    spaced = X.spaced_text(F.col("t"), keep_lines=not by_word)
+    units = docs.select("id", (X.word_units if by_word else X.line_units)(spaced).alias("units"))
+    want = W.encode(units, ["id"], "units", small_vocab, with_pieces=True).sort("id").collect()
+    got = W.encode_text(docs, ["id"], spaced, small_vocab, with_pieces=True, by_word=by_word, max_broadcast=most)
+    assert got.sort("id").collect() == want
+
+
+def test_texts_cross_to_the_encoder_whole(spark, small_vocab):
+    """No array of words is made before the tasks that encode them, and alignment makes no row's list of runs."""
+    docs = _texts(spark)
+    spaced = X.spaced_text(F.col("t"))
+    enc = W.encode_text(docs, ["id"], spaced, small_vocab, by_word=True)
+    runs = W.alignment(enc, ["id"])
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "struct(unit" not in plan
+    got = [tuple(r) for r in runs.sort("id", "unit").collect() if r.id == 1]
+    assert got == [(1, 0, 0, 1), (1, 1, 1, 3), (1, 2, 4, 2), (1, 3, 6, 1), (1, 4, 7, 1), (1, 5, 8, 3), (1, 6, 11, 1)]
+
+
+def test_vocabulary_counts_words_where_texts_are_split(spark, monkeypatch):
+    from textloom.plans import vocabulary as V
+
+    seen, real = [], V.cut
+    monkeypatch.setattr(V, "cut", lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
+    V.corpus_vocabulary(_texts(spark).withColumnRenamed("t", "text"))
+    assert "Generate" not in seen[0] and "MapInArrow" in seen[0]
+
+
+def test_corpus_is_written_as_columns(spark, small_vocab):
+    from textloom.operators import pretrain
+
+    docs = _texts(spark).filter("id <> 5").withColumnRenamed("t", "text").withColumnRenamed("id", "doc_id")
+    corpus = pretrain.encode_documents(docs, small_vocab)
+    plan = corpus.select("doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ids" not in plan.split("ReadSchema", 1)[1]

@@ -10,6 +10,9 @@ from textloom.plans import oracle_parts as Q
 from textloom.plans.catalog.registry import query, table, vocabulary
 
 
+LINES = X.spaced_text(F.col("text"), keep_lines=True)
+
+
 def _units(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.unit_tokens(F.col("text")).alias("units"))
 
@@ -55,7 +58,7 @@ def longest(spark, sf):
 FROM documents d LEFT JOIN enc e ON e.doc_id = d.doc_id GROUP BY 1""",
 )
 def full_tokens(spark, sf):
-    enc = W.encode(_units(spark, sf), ["doc_id"], "units", vocabulary(spark, sf), with_pieces=True)
+    enc = W.encode_text(table(spark, sf, "documents"), ["doc_id"], LINES, vocabulary(spark, sf), with_pieces=True)
     return enc.select(
         "doc_id",
         F.size("ids").alias("n"),
@@ -71,7 +74,7 @@ SELECT doc_id, unit::BIGINT AS unit, md5(v) AS digest FROM p"""
 
 def _lines_encoded(spark, sf):
     """Pieces per line, exploded from one encoding of each document."""
-    enc = W.encode(_units(spark, sf), ["doc_id"], "units", vocabulary(spark, sf), with_pieces=True)
+    enc = W.encode_text(table(spark, sf, "documents"), ["doc_id"], LINES, vocabulary(spark, sf), with_pieces=True)
     parts = enc.select(
         "doc_id", F.posexplode(F.arrays_zip("piece_units", "ids", "pieces")).alias("pos", "p")
     )
@@ -124,7 +127,8 @@ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY unit, wpos) - 1 A
  first_piece, n_pieces FROM w""",
 )
 def align(spark, sf):
-    enc = W.encode(_word_units(spark, sf), ["doc_id"], "units", vocabulary(spark, sf))
+    text = X.spaced_text(F.col("text"))
+    enc = W.encode_text(table(spark, sf, "documents"), ["doc_id"], text, vocabulary(spark, sf), by_word=True)
     return W.alignment(enc, ["doc_id"])
 
 
