@@ -49,3 +49,14 @@ def test_fewer_rows_than_files(spark, tmp_path):
     assert K.write_shards(spark.range(3), str(tmp_path / "few"), 8, keys=["id"]) == 3
     assert spark.read.parquet(str(tmp_path / "few")).count() == 3
     assert K.write_shards(spark.range(0), str(tmp_path / "none"), 4, keys=["id"]) == 0
+
+
+def test_one_file_a_text(spark, tmp_path):
+    """Also from several tasks, each of which moves its own files into place."""
+    texts = [f"text {k}\nof two lines" for k in range(40)] + ["text 0\nof two lines", ""]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    K.write_texts(rows, f"{tmp_path}/pos")
+    K.write_texts(rows.limit(0), f"{tmp_path}/neg")
+    files = [p for p in (tmp_path / "pos").iterdir() if p.name.startswith("part-")]
+    assert sorted(p.read_text() for p in files) == sorted(t + "\n" for t in texts)
+    assert not list((tmp_path / "pos").glob("_temporary"))
