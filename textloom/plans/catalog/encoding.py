@@ -10,13 +10,15 @@ from textloom.plans import oracle_parts as Q
 from textloom.plans.catalog.registry import query, table, vocabulary
 
 
-LINES = X.spaced_text(F.col("text"), keep_lines=True)
-
-
 def _units(spark, sf):
     return table(spark, sf, "documents").select("doc_id", X.unit_tokens(F.col("text")).alias("units"))
 
 
+def _lines_with_pieces(spark, sf):
+    text = X.spaced_text(F.col("text"), keep_lines=True)
+    return W.encode_text(table(spark, sf, "documents"), ["doc_id"], text, vocabulary(spark, sf), with_pieces=True)
+
+
 @query("src05_vocabulary", Q.with_parts(Q.VOCAB) + "SELECT token, token_id FROM vocab")
 def vocab_table(spark, sf):
     return vocabulary(spark, sf).select("token", "token_id")
@@ -58,7 +60,7 @@ def longest(spark, sf):
 FROM documents d LEFT JOIN enc e ON e.doc_id = d.doc_id GROUP BY 1""",
 )
 def full_tokens(spark, sf):
-    enc = W.encode_text(table(spark, sf, "documents"), ["doc_id"], LINES, vocabulary(spark, sf), with_pieces=True)
+    enc = _lines_with_pieces(spark, sf)
     return enc.select(
         "doc_id",
         F.size("ids").alias("n"),
@@ -74,7 +76,7 @@ SELECT doc_id, unit::BIGINT AS unit, md5(v) AS digest FROM p"""
 
 def _lines_encoded(spark, sf):
     """Pieces per line, exploded from one encoding of each document."""
-    enc = W.encode_text(table(spark, sf, "documents"), ["doc_id"], LINES, vocabulary(spark, sf), with_pieces=True)
+    enc = _lines_with_pieces(spark, sf)
     parts = enc.select(
         "doc_id", F.posexplode(F.arrays_zip("piece_units", "ids", "pieces")).alias("pos", "p")
     )
