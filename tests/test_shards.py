@@ -60,3 +60,19 @@ def test_one_file_a_text(spark, tmp_path):
     files = [p for p in (tmp_path / "pos").iterdir() if p.name.startswith("part-")]
     assert sorted(p.read_text() for p in files) == sorted(t + "\n" for t in texts)
     assert not list((tmp_path / "pos").glob("_temporary"))
+
+
+def test_texts_are_written_by_the_tasks_themselves(spark, tmp_path):
+    """No process is started for a file, so there are neither rights nor checksums; a task run again changes nothing."""
+    rows = spark.createDataFrame([("é",), ("a",), ("a",), (None,)], "text string").coalesce(1)
+    K.write_texts(rows, f"file:{tmp_path}/new")
+    files = sorted((tmp_path / "new").iterdir())
+    assert sorted(f.read_text() for f in files if f.name != "_SUCCESS") == ["\n", "a\n", "a\n", "é\n"]
+    assert not [f for f in files if f.name.startswith(".")]
+    rows.orderBy(rows.text.desc()).coalesce(1).mapInArrow(K._text_files(f"{tmp_path}/new"), "n long").collect()
+    assert sorted((tmp_path / "new").iterdir()) == files
+    try:
+        K.write_texts(rows, f"{tmp_path}/new")
+    except FileExistsError:
+        return
+    raise AssertionError("a folder was written twice")
